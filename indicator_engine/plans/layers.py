@@ -44,9 +44,10 @@ class Lakehouse:
     """Where the layers live.
 
     ``root`` puts the files of every table below a folder the cluster shares;
-    without it the catalog decides.  ``buckets`` lays the entity tables out by
-    entity, so that the integration, the latest row and the evolution need no
-    further shuffle (see ``session.SETTINGS``).
+    without it the catalog decides.  ``catalog=False`` leaves the catalog alone
+    and keeps tables as folders under ``root``.  ``buckets`` lays the entity
+    tables out by entity, so that the integration, the latest row and the
+    evolution need no further shuffle (see ``session.SETTINGS``).
     """
 
     spark: SparkSession
@@ -54,13 +55,18 @@ class Lakehouse:
     silver: str = "silver"
     gold: str = "gold"
     root: str | None = None
+    catalog: bool = True
     buckets: int | None = None
     names: Names = Names()
     target_years: Sequence[int] = TARGET_YEARS
 
     def table(self, schema: str, name: str) -> Table:
         path = f"{self.root.rstrip('/')}/{schema}/{name}" if self.root else None
-        return Table(f"{schema}.{name}", path)
+        return Table(f"{schema}.{name}" if self.catalog else None, path)
+
+    def prepare(self, schema: str) -> None:
+        if self.catalog:
+            ensure_schema(self.spark, schema)
 
     def read(self, schema: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:
         return self.table(schema, name).read(self.spark, columns)
@@ -71,7 +77,7 @@ class Lakehouse:
 
 def land_all(lake: Lakehouse, folder: str, entities: Mapping[str, str] = RAW_ENTITIES) -> list[LoadAudit]:
     """One raw table per CSV entity."""
-    ensure_schema(lake.spark, lake.bronze)
+    lake.prepare(lake.bronze)
     return [
         land_raw(
             lake.spark,
@@ -85,7 +91,7 @@ def land_all(lake: Lakehouse, folder: str, entities: Mapping[str, str] = RAW_ENT
 
 
 def load_silver(lake: Lakehouse) -> list[LoadAudit]:
-    ensure_schema(lake.spark, lake.silver)
+    lake.prepare(lake.silver)
     n, years = lake.names, lake.target_years
 
     def save(name: str, df: DataFrame, by_entity: bool = False) -> LoadAudit:
@@ -123,7 +129,7 @@ def load_silver(lake: Lakehouse) -> list[LoadAudit]:
 
 def load_gold(lake: Lakehouse) -> list[LoadAudit]:
     """The products, each partitioned by year."""
-    ensure_schema(lake.spark, lake.gold)
+    lake.prepare(lake.gold)
     base = lake.read(lake.silver, INTEGRATED)
     return [
         publish(product(base, lake.names), lake.table(lake.gold, name), lake.names.year)
@@ -133,7 +139,7 @@ def load_gold(lake: Lakehouse) -> list[LoadAudit]:
 
 def run_quality(lake: Lakehouse) -> LoadAudit:
     """Check the integrated table and append the report to its history."""
-    ensure_schema(lake.spark, lake.gold)
+    lake.prepare(lake.gold)
     n = lake.names
     report = quality.quality_report(
         lake.read(lake.silver, INTEGRATED),

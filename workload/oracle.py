@@ -149,6 +149,66 @@ _INTEGRATED_ROW = _columns(
 )
 _WIDE_ROW = _columns("ano", "base", *(f"meta_{y}" for y in _GROWTH))
 
+def _loaded() -> str:
+    """Rows and checksum of every table of the layered load: years moved by 28, rates divided by 5000."""
+    years = {y: f"meta_{y} / 5000.0" for y in _GROWTH} | {2002: "base / 5000.0"}
+
+    def long(source: str, keys: str) -> str:
+        return " UNION ALL ".join(
+            f"SELECT {keys}{y + 28} AS ano_meta, {value} AS meta_taxa FROM {source}" for y, value in years.items()
+        )
+
+    codes = ", ".join(f"'{c}'" for c in (11, 12, 13, 14, 15, 16, 17, 21, 22, 23, 24))
+    parts = {
+        "silver.dim_uf": ("(SELECT unnest(range(27)))", None),
+        "silver.fato_municipio": ("fato", "taxa"),
+        "silver.fato_uf": (
+            """(SELECT avg(taxa / 5000.0) AS taxa FROM fact_raw JOIN nation ON c_nationkey = n_nationkey
+                WHERE rede = '5-LOW' GROUP BY ano, n_name)""",
+            "taxa",
+        ),
+        "silver.meta_municipio_long": ("metas", "meta_taxa"),
+        "silver.meta_uf_long": (f"({long('latest_region_wide', '')})", "meta_taxa"),
+        "silver.meta_brasil_long": (f"({long('latest_national_wide', '')})", "meta_taxa"),
+        "silver.municipio_ano_integrada": ("base", "gap"),
+        "silver.indicador_alunos_municipio": (
+            "(SELECT avg(score) AS score FROM student_raw GROUP BY ano, id)", "score",
+        ),
+        "gold.indicador_por_municipio": (
+            "(SELECT arg_max(taxa, ano) AS taxa FROM base GROUP BY id_entity)", "taxa",
+        ),
+        "gold.meta_versus_resultado": ("(SELECT * FROM base WHERE gap IS NOT NULL)", "gap"),
+        "gold.evolucao_temporal": (
+            "(SELECT taxa - lag(taxa) OVER (PARTITION BY id_entity ORDER BY ano) AS dif FROM base)", "dif",
+        ),
+        "gold.resumo_por_uf": ("(SELECT count(*) AS n FROM base GROUP BY ano, codigo)", "n"),
+        "gold.relatorio_qualidade": (
+            """(SELECT unnest([count(*) - count(DISTINCT (ano, id_entity)), 0, 0, count(*) - count(codigo), 0,
+                              count(CASE WHEN taxa < 0 OR taxa > 100 THEN 1 END)]) AS valor FROM base)""",
+            "valor",
+        ),
+    }
+    rows = " UNION ALL ".join(
+        f"""SELECT '{name}' AS tabela, count(*) AS linhas, """
+        + ("CAST(NULL AS DOUBLE)" if column is None else
+           f"CAST(round(sum(CAST({column} AS DECIMAL(28,8))), 2) AS DOUBLE)")
+        + f" AS soma FROM {source}"
+        for name, (source, column) in parts.items()
+    )
+    wanted = _relations(
+        "fact_raw", "base_rows", "target_wide", "latest_wide", "region_target_wide", "latest_region_wide",
+        "national_target_wide", "latest_national_wide", "student_raw",
+    )
+    return f"""{wanted},
+        fato AS (SELECT ano + 28 AS ano, id_entity, avg(taxa / 5000.0) AS taxa,
+                        CASE WHEN substr(id_entity, 1, 2) IN ({codes}) THEN substr(id_entity, 1, 2) END AS codigo
+                 FROM fact_raw WHERE rede = '3-MEDIUM' GROUP BY ano, id_entity),
+        metas AS ({long("latest_wide", "id_entity, ")}),
+        base AS (SELECT f.*, f.taxa - m.meta_taxa AS gap FROM fato f
+                 LEFT JOIN metas m ON f.id_entity = m.id_entity AND f.ano = m.ano_meta)
+        {rows}"""
+
+
 ORACLE = {
     "entity_year_fact": f"""{_relations(*_FACT)}
         SELECT {_columns("codigo, ano, id_entity, sigla, nome, regiao", "taxa", "media")} FROM entity_fact""",
@@ -232,4 +292,5 @@ ORACLE = {
     "stream_summary": f"""
         SELECT CAST(year(ts) AS INTEGER) AS ano, count(*) AS eventos, {_shown("avg(value)", "taxa_media")}
         FROM events GROUP BY 1""",
+    "layered_load": _loaded(),
 }

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indicator_engine import operators as op
-from indicator_engine import streaming
+from indicator_engine import plans, streaming
 from indicator_engine.functions import flag_from_text, typed
 from indicator_engine.operators import quality as q
 from indicator_engine.session import shared_folder
@@ -177,8 +179,16 @@ def _report(rows: DataFrame, territory: DataFrame) -> DataFrame:
     return q.quality_report(rows, territory, "codigo", "integrated", checks)
 
 
+def _written_integrated(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """The integrated table as written, so that several checks do not compute it again."""
+    checked = Table(path=f"{folder}/integrated")
+    overwrite(_with_code(r.integrated(spark, sf_dir)), checked)
+    return checked.read(spark)
+
+
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _report(_with_code(r.integrated(spark, sf_dir)), r.dim_territory(spark, sf_dir))
+    rows = _written_integrated(spark, sf_dir, shared_folder(spark, "quality"))
+    return _report(rows, r.dim_territory(spark, sf_dir))
 
 
 def alert_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,13 +196,11 @@ def alert_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs over the written table, appended; the run time is left out of the result."""
+    """Two runs appended to one history; the run time is left out of the result."""
     folder = shared_folder(spark, "history")
-    checked, history = Table(path=f"{folder}/integrated"), Table(path=f"{folder}/report")
-    overwrite(_with_code(r.integrated(spark, sf_dir)), checked)
+    rows, history = _written_integrated(spark, sf_dir, folder), Table(path=f"{folder}/report")
     for _ in range(2):
-        report = _report(checked.read(spark), r.dim_territory(spark, sf_dir))
-        append(q.stamped(report), history, q.REPORT_SCHEMA)
+        append(q.stamped(_report(rows, r.dim_territory(spark, sf_dir))), history, q.REPORT_SCHEMA)
     return history.read(spark, q.REPORT_COLUMNS)
 
 
@@ -216,6 +224,52 @@ def stream_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.show(streaming.summary_by_year(_landed_events(spark, sf_dir)), "taxa_media")
 
 
+# table of the layered load and the column its checksum adds up
+LOADED = {
+    "silver": {
+        "dim_uf": None,
+        "fato_municipio": "taxa_alfabetizacao",
+        "fato_uf": "taxa_alfabetizacao",
+        "meta_municipio_long": "meta_taxa",
+        "meta_uf_long": "meta_taxa",
+        "meta_brasil_long": "meta_taxa",
+        "municipio_ano_integrada": "gap_meta",
+        "indicador_alunos_municipio": "proficiencia_media",
+    },
+    "gold": {
+        "indicador_por_municipio": "taxa_alfabetizacao",
+        "meta_versus_resultado": "gap_meta",
+        "evolucao_temporal": "variacao",
+        "resumo_por_uf": "qtd_municipios",
+        "relatorio_qualidade": "valor",
+    },
+}
+
+
+def layered_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six CSV entities through all layers; rows and a checksum of every table written."""
+    root = shared_folder(spark, "layers")
+    for file, entity in r.csv_entities(spark, sf_dir).items():
+        export_csv(entity, f"{root}/raw/{file}")
+    lake = plans.Lakehouse(spark, root=root, catalog=False)
+    plans.land_all(lake, f"{root}/raw")
+    plans.load_silver(lake)
+    plans.load_gold(lake)
+    plans.run_quality(lake)
+
+    def checksum(layer: str, name: str, column: str | None) -> DataFrame:
+        rows = lake.read(layer, name)
+        total = F.lit(None) if column is None else F.sum(F.col(column).cast("decimal(28,8)"))
+        return rows.agg(
+            F.lit(f"{layer}.{name}").alias("tabela"),
+            F.count(F.lit(1)).alias("linhas"),
+            F.round(total.cast("decimal(38,8)"), 2).cast("double").alias("soma"),
+        )
+
+    parts = [checksum(layer, *item) for layer, tables in LOADED.items() for item in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -249,5 +303,6 @@ QUERIES = {
         quality_history,
         stream_landed,
         stream_summary,
+        layered_load,
     )
 }

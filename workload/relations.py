@@ -43,6 +43,11 @@ ABSENT_REGION = "MIDDLE EAST"
 
 EXACT = 8
 
+# the layered load runs on its own years and on rates of 0 to 100
+YEAR_SHIFT = 28
+LOAD_YEARS = tuple(range(2024, 2031))
+RATE_SCALE = 5000.0
+
 
 def shown(c: Column | str) -> Column:
     """A mean as both engines can state it: four digits, free of addition order."""
@@ -127,6 +132,42 @@ def _wide(rows: DataFrame, *keys: str) -> DataFrame:
     return base.select("ano", *keys, "base", *targets)
 
 
+def _moved(wide: DataFrame, *keys: Column) -> DataFrame:
+    """Wide targets in the columns of the layered load, for its years and its scale."""
+    targets = [
+        (F.col(NAMES.target_column(y)) / RATE_SCALE).alias(Names().target_column(y + YEAR_SHIFT))
+        if y in GROWTH
+        else (F.col("base") / RATE_SCALE).alias(Names().target_column(y + YEAR_SHIFT))
+        for y in range(LOAD_YEARS[0] - YEAR_SHIFT, LOAD_YEARS[-1] - YEAR_SHIFT + 1)
+    ]
+    return wide.select((F.col("ano") + YEAR_SHIFT).alias("ano"), *keys, *targets)
+
+
+def csv_entities(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The six raw entities of the layered load, in its column names."""
+    fact = network_fact(spark, sf_dir)
+    measures = (
+        (F.col("taxa") / RATE_SCALE).alias("taxa_alfabetizacao"),
+        F.col("media").alias("media_portugues"),
+    )
+    year = (F.col("ano") + YEAR_SHIFT).alias("ano")
+    return {
+        "municipio.csv": fact.select(year, F.col("id_entity").alias("id_municipio"), "rede", *measures),
+        "uf.csv": region_raw(spark, sf_dir).select(year, F.col("sigla").alias("sigla_uf"), "rede", *measures),
+        "meta_municipio.csv": _moved(
+            target_wide(spark, sf_dir), F.col("id_entity").alias("id_municipio")
+        ),
+        "meta_uf.csv": _moved(region_target_wide(spark, sf_dir), F.col("sigla").alias("sigla_uf")),
+        "meta_brasil.csv": _moved(national_target_wide(spark, sf_dir)),
+        "alunos.csv": student_raw(spark, sf_dir).select(
+            year,
+            F.col("id").alias("id_municipio"),
+            F.when(F.lower("flag").isin(*TRUE_TEXTS), "Sim").otherwise("0").alias("alfabetizado"),
+            F.col("score").alias("proficiencia"),
+        ),
+    }
+
+
 def target_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wide(_base_rows(spark, sf_dir), "id_entity")
 
