@@ -7,15 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from indicator_engine.functions import as_double, as_int
+from indicator_engine.functions import as_int
 from indicator_engine.names import Names
 
 
-def _newest_first(df: DataFrame, year: str, keys: Sequence[str], ties: Sequence[str] | None) -> list[Column]:
+def _newest_first(df: DataFrame, year: str, keys: Sequence[str], ties: Sequence[str] | None) -> list[Column | str]:
     """Year descending (null last), then tie columns, so that a re-run picks the same row."""
     if ties is None:
         ties = [c for c in df.columns if c not in keys]
-    return [as_int(year).desc_nulls_last(), *(F.col(c).asc_nulls_last() for c in ties)]
+    return [as_int(year).desc_nulls_last(), *ties]
 
 
 def latest_by_key(
@@ -44,14 +44,12 @@ def unpivot_targets(
     Ask only for the years that are needed: a later filter on the target year
     does not reach below the generated rows.
     """
-    pairs = [
-        F.struct(
-            F.lit(year).alias(names.target_year),
-            as_double(names.target_column(year)).alias(names.target),
-        )
+    rows = ", ".join(
+        f"named_struct('{names.target_year}', {year}, "
+        f"'{names.target}', try_cast(`{names.target_column(year)}` AS double))"
         for year in years
-    ]
-    return wide.select(*keys, F.inline(F.array(*pairs)))
+    )
+    return wide.selectExpr(*(f"`{k}`" for k in keys), f"inline(array({rows}))")
 
 
 def keyed_targets(

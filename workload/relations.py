@@ -10,13 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicator_engine.functions import pad_key, round_half_up
+from indicator_engine.functions import pad_key
 from indicator_engine.names import Names
-from indicator_engine.operators import (
-    entity_year_fact,
-    integrate,
-    keyed_targets,
-)
+from indicator_engine.operators import entity_year_fact, integrate, keyed_targets
 
 NAMES = Names(
     entity="id_entity",
@@ -49,17 +45,28 @@ LOAD_YEARS = tuple(range(2024, 2031))
 RATE_SCALE = 5000.0
 
 
-def shown(c: Column | str) -> Column:
-    """A mean as both engines can state it: four digits, free of addition order."""
-    return round_half_up(F.col(c) if isinstance(c, str) else c, 4, EXACT)
+def show(df: DataFrame, *columns: str) -> DataFrame:
+    """Means as both engines can state them: four digits, free of addition order."""
+    exact = "CAST(round(CAST(`{0}` AS decimal(28,%d)), 4) AS double) AS `{0}`" % EXACT
+    return df.selectExpr(*((exact if c in columns else "`{0}`").format(c) for c in df.columns))
 
 
-def show(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: shown(c) for c in columns})
+# declared, so that opening a table starts no job to infer its columns
+SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def entity_key() -> Column:
@@ -70,12 +77,13 @@ def fact_raw(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None)
     if orders is None:
         orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer")
-    return orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
-        F.year("o_orderdate").alias("ano"),
-        entity_key().alias("id_entity"),
-        F.col("o_orderpriority").alias("rede"),
-        F.col("o_totalprice").alias("taxa"),
-        F.col("c_acctbal").alias("media"),
+    keyed = customer.withColumn("id_entity", entity_key())
+    return orders.join(keyed, F.col("o_custkey") == F.col("c_custkey")).selectExpr(
+        "year(o_orderdate) AS ano",
+        "id_entity",
+        "o_orderpriority AS rede",
+        "o_totalprice AS taxa",
+        "c_acctbal AS media",
         "c_nationkey",
     )
 
@@ -125,11 +133,11 @@ def _wide(rows: DataFrame, *keys: str) -> DataFrame:
     base = rows.groupBy("ano", *keys).agg(F.avg("taxa").alias("base"), F.max("media").alias("_top"))
     targets = []
     for year, growth in GROWTH.items():
-        target = F.col("base") * F.lit(growth)
+        target = f"base * {growth}D"
         if year == NULL_TARGET_YEAR:
-            target = F.when(F.col("_top") >= 0, target)
-        targets.append(target.alias(NAMES.target_column(year)))
-    return base.select("ano", *keys, "base", *targets)
+            target = f"if(_top < 0, NULL, {target})"
+        targets.append(f"{target} AS {NAMES.target_column(year)}")
+    return base.selectExpr("ano", *keys, "base", *targets)
 
 
 def _moved(wide: DataFrame, *keys: Column) -> DataFrame:
