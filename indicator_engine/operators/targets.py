@@ -52,6 +52,17 @@ def unpivot_targets(
     return wide.selectExpr(*(f"`{k}`" for k in keys), f"inline(array({rows}))")
 
 
+def _needed(
+    wide: DataFrame, keys: Sequence[str], years: Sequence[int], names: Names, ties: Sequence[str] | None
+) -> DataFrame:
+    """Only the columns the long targets depend on."""
+    others = [names.year, *(names.target_column(y) for y in years), *(ties or ())]
+    return wide.select(
+        *(F.col(k).cast("string").alias(k) for k in keys),
+        *(c for c in dict.fromkeys(others) if c not in keys),
+    )
+
+
 def keyed_targets(
     wide: DataFrame,
     key: str,
@@ -61,20 +72,15 @@ def keyed_targets(
 ) -> DataFrame:
     """Long targets of the newest version per key.
 
-    Columns the result does not use are pruned first, and versions are dropped
-    before the rows multiply by the number of years.
+    Old versions are dropped before the rows multiply by the number of years.
     """
-    needed = wide.select(
-        F.col(key).cast("string").alias(key),
-        names.year,
-        *(names.target_column(y) for y in years),
-        *(c for c in ties or () if c not in (key, names.year)),
-    )
-    return unpivot_targets(latest_by_key(needed, [key], names.year, ties), [key], years, names)
+    newest = latest_by_key(_needed(wide, [key], years, names, ties), [key], names.year, ties)
+    return unpivot_targets(newest, [key], years, names)
 
 
 def national_targets(
     wide: DataFrame, years: Sequence[int], names: Names = Names(), ties: Sequence[str] | None = None
 ) -> DataFrame:
     """Long targets of the single newest row."""
-    return unpivot_targets(latest_overall(wide, names.year, ties), [], years, names)
+    newest = latest_overall(_needed(wide, [], years, names, ties), names.year, ties)
+    return unpivot_targets(newest, [], years, names)
