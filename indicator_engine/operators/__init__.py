@@ -1,3 +1,10 @@
+from indicator_engine.operators.documented import (
+    apply_updates,
+    attach_region_target,
+    health,
+    indicator_from_scores,
+    priority_list,
+)
 from indicator_engine.operators.facts import (
     coverage_profile,
     entity_year_fact,
@@ -12,9 +19,13 @@ from indicator_engine.operators.sampling import ordered_sample, preview
 from indicator_engine.operators.targets import keyed_targets, latest_by_key, national_targets, unpivot_targets
 
 __all__ = [
+    "apply_updates",
+    "attach_region_target",
     "coverage_profile",
     "entity_year_fact",
     "evolution",
+    "health",
+    "indicator_from_scores",
     "integrate",
     "keyed_targets",
     "latest_by_key",
@@ -24,6 +35,7 @@ __all__ = [
     "national_targets",
     "ordered_sample",
     "preview",
+    "priority_list",
     "region_summary",
     "region_year_fact",
     "sample_indicator",

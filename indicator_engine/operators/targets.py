@@ -11,29 +11,37 @@ from indicator_engine.functions import as_int
 from indicator_engine.names import Names
 
 
-def _newest_first(df: DataFrame, year: str, keys: Sequence[str], ties: Sequence[str] | None) -> list[Column | str]:
-    """Year descending (null last), then tie columns, so that a re-run picks the same row."""
+def _newest_first(
+    df: DataFrame, age: Column, keys: Sequence[str], ties: Sequence[str] | None
+) -> list[Column | str]:
+    """Descending (null last), then tie columns, so that a re-run picks the same row."""
     if ties is None:
         ties = [c for c in df.columns if c not in keys]
-    return [as_int(year).desc_nulls_last(), *ties]
+    return [age.desc_nulls_last(), *ties]
 
 
 def latest_by_key(
-    df: DataFrame, keys: Sequence[str], year: str = Names.year, ties: Sequence[str] | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    year: str = Names.year,
+    ties: Sequence[str] | None = None,
+    *,
+    age: Column | None = None,
 ) -> DataFrame:
-    """The row of the newest year per key.
+    """The row of the newest year per key; ``age`` orders by something other than a year.
 
     The rank filter lets Spark keep one row per key and map task before the
     shuffle (``WindowGroupLimit``), so a hot key does not reach one task whole.
-    ``ties`` decides between rows of the same year; all other columns by default.
+    ``ties`` decides between rows of the same age; all other columns by default.
     """
-    newest = Window.partitionBy(*keys).orderBy(*_newest_first(df, year, keys, ties))
+    order = _newest_first(df, as_int(year) if age is None else age, keys, ties)
+    newest = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") == 1).drop("_rank")
 
 
 def latest_overall(df: DataFrame, year: str = Names.year, ties: Sequence[str] | None = None) -> DataFrame:
     """The one row of the newest year."""
-    return df.orderBy(*_newest_first(df, year, (), ties)).limit(1)
+    return df.orderBy(*_newest_first(df, as_int(year), (), ties)).limit(1)
 
 
 def unpivot_targets(

@@ -293,4 +293,37 @@ ORACLE = {
         SELECT CAST(year(ts) AS INTEGER) AS ano, count(*) AS eventos, {_shown("avg(value)", "taxa_media")}
         FROM events GROUP BY 1""",
     "layered_load": _loaded(),
+    "indicator_from_scores": f"""{_relations("student_raw")}
+        SELECT ano, id, {_shown("avg(CASE WHEN score >= 50000 THEN 1 ELSE 0 END)", "prop_alfabetizado_amostra")}
+        FROM student_raw GROUP BY ano, id""",
+    "region_target_attached": f"""{_relations(*_ALL, "region_target_wide", "latest_region_wide")},
+        uf AS ({_long("latest_region_wide", "sigla, ")})
+        SELECT ano, id_entity, i.sigla, nome, regiao, atingiu_meta, {_shown("taxa")}, {_shown("media")},
+               {_shown("meta_ano_corrente")}, {_shown("gap_meta")}, {_shown("meta_taxa", "meta_uf")}
+        FROM integrated i LEFT JOIN uf ON uf.sigla = i.sigla AND uf.ano_meta = i.ano""",
+    "orphan_entities": f"""{_relations("fact_raw", "base_rows")}
+        SELECT id_entity FROM fact_raw EXCEPT SELECT id_entity FROM base_rows""",
+    "priority_list": f"""{_relations(*_ALL)}
+        SELECT {_columns("ano, id_entity, sigla, regiao, atingiu_meta", "taxa", "meta_ano_corrente", "gap_meta")}
+        FROM (SELECT * FROM integrated WHERE gap_meta IS NOT NULL ORDER BY gap_meta, ano, id_entity LIMIT 100)""",
+    "updates_applied": f"""
+        WITH fact AS (SELECT CAST(year(o_orderdate) + 23 AS INTEGER) AS ano, CAST(o_custkey AS VARCHAR) AS id_municipio,
+                             avg(o_totalprice) AS taxa, avg(o_totalprice * 2) AS media
+                      FROM orders GROUP BY 1, 2),
+             newest AS (SELECT CAST(user_id AS VARCHAR) AS id_municipio, year(ts) AS ano, arg_max(value, ts) AS taxa
+                        FROM events GROUP BY 1, 2)
+        SELECT f.ano, f.id_municipio, {_shown("coalesce(n.taxa, f.taxa)", "taxa_alfabetizacao")},
+               {_shown("f.media", "media_portugues")}
+        FROM fact f LEFT JOIN newest n ON n.id_municipio = f.id_municipio AND n.ano = f.ano""",
+    "networks_decoded": """
+        SELECT CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'Federal' WHEN '2' THEN 'Estadual'
+                    WHEN '3' THEN 'Municipal' WHEN '4' THEN 'Privada'
+                    WHEN '5' THEN 'Pública (Estadual e Municipal)' END AS rede, count(*) AS "count"
+        FROM orders GROUP BY 1""",
+    "quality_trend": f"""{_relations(*_ALL, "report")},
+        narrowed AS ({_REPORT.replace("FROM integrated", "FROM (SELECT * FROM integrated WHERE meta_ano_corrente IS NOT NULL)")})
+        SELECT tabela, metrica, status, valor, CAST(NULL AS DOUBLE) AS variacao FROM report
+        UNION ALL
+        SELECT n.tabela, n.metrica, n.status, n.valor, n.valor - r.valor
+        FROM narrowed n JOIN report r ON r.metrica = n.metrica""",
 }

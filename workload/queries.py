@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from indicator_engine import operators as op
 from indicator_engine import plans, streaming
-from indicator_engine.functions import flag_from_text, typed
+from indicator_engine.functions import decode, flag_from_text, typed
+from indicator_engine.names import Names
 from indicator_engine.operators import quality as q
 from indicator_engine.session import shared_folder
 from indicator_engine.sinks import Table, append, audit_frame, export_csv, land_raw, overwrite, publish
@@ -224,6 +225,56 @@ def stream_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.show(streaming.summary_by_year(_landed_events(spark, sf_dir)), "taxa_media")
 
 
+def indicator_from_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    share = op.indicator_from_scores(r.student_raw(spark, sf_dir), r.STUDENT, cut=50_000)
+    return r.show(share, "prop_alfabetizado_amostra")
+
+
+def region_target_attached(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wide = r.region_target_wide(spark, sf_dir)
+    targets = op.keyed_targets(wide, "sigla", r.TARGET_YEARS, N)
+    joined = op.attach_region_target(r.integrated(spark, sf_dir), targets, N)
+    return r.show(joined, *INTEGRATED_MEANS, "meta_uf")
+
+
+def orphan_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entities of the fact without a row in the base years of the targets."""
+    fact = r.fact_raw(spark, sf_dir).select("id_entity")
+    return op.missing_from(fact, r.target_wide(spark, sf_dir), "id_entity")
+
+
+def priority_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    product = op.target_vs_result(r.integrated(spark, sf_dir), N)
+    return r.show(op.priority_list(product, 100, N), "taxa", "meta_ano_corrente", "gap_meta")
+
+
+def updates_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order means per customer, the last year overlaid by the newest event of the same number."""
+    means = op.yearly_means(r.update_target(spark, sf_dir), "ano", ["id_municipio"], Names().measures)
+    events = r.event_json(spark, sf_dir).withColumn("media_portugues", F.lit(None).cast("double"))
+    return r.show(op.apply_updates(means, streaming.stamp(events)), *Names().measures)
+
+
+def networks_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per label of the network code their priority starts with; code and label go together."""
+    return (
+        r.table(spark, sf_dir, "orders")
+        .select(decode(F.substring("o_orderpriority", 1, 1)).alias("rede"))
+        .groupBy("rede")
+        .count()
+    )
+
+
+def quality_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change of every check between a run over all rows and one over those with a target."""
+    folder = shared_folder(spark, "trend")
+    rows, history = _written_integrated(spark, sf_dir, folder), Table(path=f"{folder}/report")
+    for checked in (rows, rows.where(F.col("meta_ano_corrente").isNotNull())):
+        report = _report(checked, r.dim_territory(spark, sf_dir))
+        append(q.stamped(report), history, q.REPORT_SCHEMA)
+    return q.quality_trend(history.read(spark)).drop("executado_em")
+
+
 # table of the layered load and the column its checksum adds up
 LOADED = {
     "silver": {
@@ -304,5 +355,12 @@ QUERIES = {
         stream_landed,
         stream_summary,
         layered_load,
+        indicator_from_scores,
+        region_target_attached,
+        orphan_entities,
+        priority_list,
+        updates_applied,
+        networks_decoded,
+        quality_trend,
     )
 }

@@ -221,3 +221,13 @@ def event_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("taxa_alfabetizacao"),
         F.concat(F.regexp_replace(ts.cast("string"), " ", "T"), F.lit("+00:00")).alias("evento_ts"),
     )
+
+
+def update_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a fact whose last year is that of the events."""
+    return table(spark, sf_dir, "orders").selectExpr(
+        "year(o_orderdate) + 23 AS ano",
+        "CAST(o_custkey AS string) AS id_municipio",
+        "o_totalprice AS taxa_alfabetizacao",
+        "o_totalprice * 2 AS media_portugues",
+    )
