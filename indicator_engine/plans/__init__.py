@@ -1,3 +1,10 @@
-from indicator_engine.plans.layers import Lakehouse, land_all, load_gold, load_silver, run_quality
+from indicator_engine.plans.layers import (
+    Lakehouse,
+    extract_all,
+    land_all,
+    load_gold,
+    load_silver,
+    run_quality,
+)
 
-__all__ = ["Lakehouse", "land_all", "load_gold", "load_silver", "run_quality"]
+__all__ = ["Lakehouse", "extract_all", "land_all", "load_gold", "load_silver", "run_quality"]

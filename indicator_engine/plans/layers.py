@@ -25,8 +25,17 @@ from indicator_engine.operators import (
     target_vs_result,
 )
 from indicator_engine.operators import quality
-from indicator_engine.sinks import LoadAudit, Table, append, ensure_schema, land_raw, overwrite, publish
-from indicator_engine.sources import RAW_ENTITIES, read_raw, state_dimension
+from indicator_engine.sinks import (
+    LoadAudit,
+    Table,
+    append,
+    ensure_schema,
+    export_csv,
+    land_raw,
+    overwrite,
+    publish,
+)
+from indicator_engine.sources import EXTRACTS, RAW_ENTITIES, Extract, extract, read_raw, state_dimension
 from indicator_engine.sources.extract import TARGET_YEARS
 
 INTEGRATED = "municipio_ano_integrada"
@@ -75,6 +84,17 @@ class Lakehouse:
         return read_raw(self.read(self.bronze, name), self.names)
 
 
+def extract_all(
+    sources: Mapping[str, DataFrame],
+    folder: str,
+    specs: Mapping[str, Extract] = EXTRACTS,
+    entities: Mapping[str, str] = RAW_ENTITIES,
+) -> None:
+    """What each raw entity takes from its wide source, exported as CSV."""
+    for file, name in entities.items():
+        export_csv(extract(sources[name], specs[name]), f"{folder.rstrip('/')}/{file}")
+
+
 def land_all(lake: Lakehouse, folder: str, entities: Mapping[str, str] = RAW_ENTITIES) -> list[LoadAudit]:
     """One raw table per CSV entity."""
     lake.prepare(lake.bronze)

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from indicator_engine.operators import quality as q
-from indicator_engine.plans import Lakehouse, land_all, load_gold, load_silver, run_quality
+from indicator_engine.plans import Lakehouse, extract_all, land_all, load_gold, load_silver, run_quality
+from indicator_engine.sources import RAW_ENTITIES, read_csv_text
 from tests import fixtures_raw
 
 SP = ("SP", "Sao Paulo", "Sudeste")
@@ -168,3 +170,19 @@ def test_raw_schema_may_change(spark, tmp_path, raw):
     (raw / "uf.csv").write_text("ano,sigla_uf,nova\n2023,SP,1\n")
     land_all(lake, str(raw), {"uf.csv": "uf"})
     assert lake.raw("uf").columns == ["ano", "sigla_uf", "nova"]
+
+
+def test_extraction_feeds_the_load(spark, tmp_path, raw):
+    """Wide sources with other networks and columns give the same tables as the files."""
+    sources = {}
+    for file, name in RAW_ENTITIES.items():
+        table = read_csv_text(spark, str(raw / file)).withColumn("extra", F.lit("x"))
+        if name in ("uf", "municipio"):
+            table = table.union(table.withColumn("rede", F.lit("0")))
+        if name == "alunos":
+            table = table.union(table.withColumn("id_municipio", F.lit("1100015")))
+        sources[name] = table
+    extract_all(sources, str(tmp_path / "csv"))
+    lake = Lakehouse(spark, root=str(tmp_path / "lake"), catalog=False)
+    run(lake, tmp_path / "csv")
+    check(lake)

@@ -298,10 +298,9 @@ LOADED = {
 
 
 def layered_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Six CSV entities through all layers; rows and a checksum of every table written."""
+    """Six sources through extraction and all layers; rows and a checksum of every table written."""
     root = shared_folder(spark, "layers")
-    for file, entity in r.csv_entities(spark, sf_dir).items():
-        export_csv(entity, f"{root}/raw/{file}")
+    plans.extract_all(r.load_sources(spark, sf_dir), f"{root}/raw", r.LOAD_EXTRACTS)
     lake = plans.Lakehouse(spark, root=root, catalog=False)
     plans.land_all(lake, f"{root}/raw")
     plans.load_silver(lake)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from indicator_engine.functions import pad_key
 from indicator_engine.names import Names
 from indicator_engine.operators import entity_year_fact, integrate, keyed_targets
+from indicator_engine.sources import Extract
 
 NAMES = Names(
     entity="id_entity",
@@ -140,38 +141,50 @@ def _wide(rows: DataFrame, *keys: str) -> DataFrame:
     return base.selectExpr("ano", *keys, "base", *targets)
 
 
-def _moved(wide: DataFrame, *keys: Column) -> DataFrame:
-    """Wide targets in the columns of the layered load, for its years and its scale."""
-    targets = [
-        (F.col(NAMES.target_column(y)) / RATE_SCALE).alias(Names().target_column(y + YEAR_SHIFT))
-        if y in GROWTH
-        else (F.col("base") / RATE_SCALE).alias(Names().target_column(y + YEAR_SHIFT))
-        for y in range(LOAD_YEARS[0] - YEAR_SHIFT, LOAD_YEARS[-1] - YEAR_SHIFT + 1)
-    ]
-    return wide.select((F.col("ano") + YEAR_SHIFT).alias("ano"), *keys, *targets)
+def _moved(wide: DataFrame, *keys: str) -> DataFrame:
+    """Wide targets in the columns, years and scale of the layered load."""
+    targets = []
+    for year in LOAD_YEARS:
+        own = year - YEAR_SHIFT
+        value = NAMES.target_column(own) if own in GROWTH else "base"
+        targets.append(f"{value} / {RATE_SCALE}D AS {Names().target_column(year)}")
+    return wide.selectExpr(f"ano + {YEAR_SHIFT} AS ano", *keys, *targets)
+
+
+_MEASURES = ("taxa_alfabetizacao", "media_portugues")
+_LOAD_TARGETS = tuple(Names().target_column(y) for y in LOAD_YEARS)
+
+LOAD_EXTRACTS = {
+    "municipio": Extract(("ano", "id_municipio", "rede", *_MEASURES), equals=("rede", NETWORK)),
+    "uf": Extract(("ano", "sigla_uf", "rede", *_MEASURES), equals=("rede", REGION_NETWORK)),
+    "meta_alfabetizacao_municipio": Extract(("ano", "id_municipio", *_LOAD_TARGETS)),
+    "meta_alfabetizacao_uf": Extract(("ano", "sigla_uf", *_LOAD_TARGETS)),
+    "meta_alfabetizacao_brasil": Extract(("ano", *_LOAD_TARGETS)),
+    "alunos": Extract(("ano", "id_municipio", "alfabetizado", "proficiencia")),
+}
 
 
-def csv_entities(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The six raw entities of the layered load, in its column names."""
-    fact = network_fact(spark, sf_dir)
-    measures = (
-        (F.col("taxa") / RATE_SCALE).alias("taxa_alfabetizacao"),
-        F.col("media").alias("media_portugues"),
+def load_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The wide source of every raw entity of the layered load, in its column names."""
+    fact = _with_nation(spark, sf_dir, fact_raw(spark, sf_dir)).selectExpr(
+        f"ano + {YEAR_SHIFT} AS ano",
+        "id_entity AS id_municipio",
+        "sigla AS sigla_uf",
+        "rede",
+        f"taxa / {RATE_SCALE}D AS taxa_alfabetizacao",
+        "media AS media_portugues",
     )
-    year = (F.col("ano") + YEAR_SHIFT).alias("ano")
     return {
-        "municipio.csv": fact.select(year, F.col("id_entity").alias("id_municipio"), "rede", *measures),
-        "uf.csv": region_raw(spark, sf_dir).select(year, F.col("sigla").alias("sigla_uf"), "rede", *measures),
-        "meta_municipio.csv": _moved(
-            target_wide(spark, sf_dir), F.col("id_entity").alias("id_municipio")
-        ),
-        "meta_uf.csv": _moved(region_target_wide(spark, sf_dir), F.col("sigla").alias("sigla_uf")),
-        "meta_brasil.csv": _moved(national_target_wide(spark, sf_dir)),
-        "alunos.csv": student_raw(spark, sf_dir).select(
-            year,
-            F.col("id").alias("id_municipio"),
-            F.when(F.lower("flag").isin(*TRUE_TEXTS), "Sim").otherwise("0").alias("alfabetizado"),
-            F.col("score").alias("proficiencia"),
+        "municipio": fact,
+        "uf": fact,
+        "meta_alfabetizacao_municipio": _moved(target_wide(spark, sf_dir), "id_entity AS id_municipio"),
+        "meta_alfabetizacao_uf": _moved(region_target_wide(spark, sf_dir), "sigla AS sigla_uf"),
+        "meta_alfabetizacao_brasil": _moved(national_target_wide(spark, sf_dir)),
+        "alunos": student_raw(spark, sf_dir).selectExpr(
+            f"ano + {YEAR_SHIFT} AS ano",
+            "id AS id_municipio",
+            "if(flag IN ('R', 'A'), 'Sim', '0') AS alfabetizado",
+            "score AS proficiencia",
         ),
     }
 
