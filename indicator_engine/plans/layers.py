@@ -1,14 +1,19 @@
 """The layered load: raw text, typed and integrated tables, served products, report.
 
 Each step reads what the step before has written, so a lost executor or driver
-costs one step and nothing is computed twice.
+costs one step and nothing is computed twice.  The tables of one step do not
+depend on each other and are written side by side, so that the tail of one
+write leaves no executors idle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from indicator_engine.names import Names
@@ -84,77 +89,82 @@ class Lakehouse:
         return read_raw(self.read(self.bronze, name), self.names)
 
 
+Item = TypeVar("Item")
+Done = TypeVar("Done")
+
+
+def side_by_side(
+    spark: SparkSession, write: Callable[[Item], Done], items: Iterable[Item]
+) -> list[Done]:
+    """Run independent writes at the same time; the first failure is raised."""
+    items = list(items)
+    with ThreadPoolExecutor(max_workers=len(items)) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(write), items))
+
+
 def extract_all(
+    spark: SparkSession,
     sources: Mapping[str, DataFrame],
     folder: str,
     specs: Mapping[str, Extract] = EXTRACTS,
     entities: Mapping[str, str] = RAW_ENTITIES,
 ) -> None:
     """What each raw entity takes from its wide source, exported as CSV."""
-    for file, name in entities.items():
-        export_csv(extract(sources[name], specs[name]), f"{folder.rstrip('/')}/{file}")
+    rows = {file: extract(sources[name], specs[name]) for file, name in entities.items()}
+    side_by_side(
+        spark, lambda item: export_csv(item[1], f"{folder.rstrip('/')}/{item[0]}"), rows.items()
+    )
 
 
 def land_all(lake: Lakehouse, folder: str, entities: Mapping[str, str] = RAW_ENTITIES) -> list[LoadAudit]:
     """One raw table per CSV entity."""
     lake.prepare(lake.bronze)
-    return [
-        land_raw(
-            lake.spark,
-            f"{folder.rstrip('/')}/{file}",
-            lake.table(lake.bronze, name),
-            origin=file,
-            names=lake.names,
-        )
-        for file, name in entities.items()
-    ]
+
+    def land(item: tuple[str, str]) -> LoadAudit:
+        file, name = item
+        path = f"{folder.rstrip('/')}/{file}"
+        return land_raw(lake.spark, path, lake.table(lake.bronze, name), origin=file, names=lake.names)
+
+    return side_by_side(lake.spark, land, entities.items())
 
 
 def load_silver(lake: Lakehouse) -> list[LoadAudit]:
     lake.prepare(lake.silver)
     n, years = lake.names, lake.target_years
+    by_entity = {"fato_municipio", "meta_municipio_long", INTEGRATED}
 
-    def save(name: str, df: DataFrame, by_entity: bool = False) -> LoadAudit:
-        target = lake.table(lake.silver, name)
-        if by_entity and lake.buckets:
-            return overwrite(df, target, bucket_by=n.entity, buckets=lake.buckets)
-        return overwrite(df, target)
+    def save(item: tuple[str, DataFrame]) -> LoadAudit:
+        name, df = item
+        buckets = lake.buckets if name in by_entity else None
+        return overwrite(df, lake.table(lake.silver, name), bucket_by=n.entity, buckets=buckets)
 
     states = state_dimension(lake.spark, n)
-    audits = [
-        save("dim_uf", states),
-        save(
-            "fato_municipio",
-            entity_year_fact(lake.raw("municipio"), states, n, literal_territory=True),
-            by_entity=True,
-        ),
-        save("fato_uf", region_year_fact(lake.raw("uf"), n)),
-        save(
-            "meta_municipio_long",
-            keyed_targets(lake.raw("meta_alfabetizacao_municipio"), n.entity, years, n),
-            by_entity=True,
-        ),
-        save("meta_uf_long", keyed_targets(lake.raw("meta_alfabetizacao_uf"), n.region, years, n)),
-        save("meta_brasil_long", national_targets(lake.raw("meta_alfabetizacao_brasil"), years, n)),
-    ]
+    conformed = {
+        "dim_uf": states,
+        "fato_municipio": entity_year_fact(lake.raw("municipio"), states, n, literal_territory=True),
+        "fato_uf": region_year_fact(lake.raw("uf"), n),
+        "meta_municipio_long": keyed_targets(lake.raw("meta_alfabetizacao_municipio"), n.entity, years, n),
+        "meta_uf_long": keyed_targets(lake.raw("meta_alfabetizacao_uf"), n.region, years, n),
+        "meta_brasil_long": national_targets(lake.raw("meta_alfabetizacao_brasil"), years, n),
+        "indicador_alunos_municipio": sample_indicator(lake.raw("alunos"), n),
+    }
+    audits = side_by_side(lake.spark, save, conformed.items())
     # from the written tables: the fact and the targets are not computed again
     fact = lake.read(lake.silver, "fato_municipio")
     targets = lake.read(lake.silver, "meta_municipio_long")
-    audits += [
-        save(INTEGRATED, integrate(fact, targets, n, unique_inputs=True), by_entity=True),
-        save("indicador_alunos_municipio", sample_indicator(lake.raw("alunos"), n)),
-    ]
-    return audits
+    return [*audits, save((INTEGRATED, integrate(fact, targets, n, unique_inputs=True)))]
 
 
 def load_gold(lake: Lakehouse) -> list[LoadAudit]:
     """The products, each partitioned by year."""
     lake.prepare(lake.gold)
     base = lake.read(lake.silver, INTEGRATED)
-    return [
-        publish(product(base, lake.names), lake.table(lake.gold, name), lake.names.year)
-        for name, product in PRODUCTS.items()
-    ]
+    products = {name: product(base, lake.names) for name, product in PRODUCTS.items()}
+    return side_by_side(
+        lake.spark,
+        lambda item: publish(item[1], lake.table(lake.gold, item[0]), lake.names.year),
+        products.items(),
+    )
 
 
 def run_quality(lake: Lakehouse) -> LoadAudit:

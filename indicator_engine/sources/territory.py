@@ -40,4 +40,5 @@ STATES = (
 def state_dimension(spark: SparkSession, names: Names = Names()) -> DataFrame:
     columns = (names.code, *names.labels)
     schema = T.StructType([T.StructField(c, T.StringType(), False) for c in columns])
-    return spark.createDataFrame(list(STATES), schema)
+    # one partition: written as one file, whatever the size of the cluster
+    return spark.createDataFrame(list(STATES), schema).coalesce(1)

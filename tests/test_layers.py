@@ -182,7 +182,7 @@ def test_extraction_feeds_the_load(spark, tmp_path, raw):
         if name == "alunos":
             table = table.union(table.withColumn("id_municipio", F.lit("1100015")))
         sources[name] = table
-    extract_all(sources, str(tmp_path / "csv"))
+    extract_all(spark, sources, str(tmp_path / "csv"))
     lake = Lakehouse(spark, root=str(tmp_path / "lake"), catalog=False)
     run(lake, tmp_path / "csv")
     check(lake)

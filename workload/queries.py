@@ -300,7 +300,7 @@ LOADED = {
 def layered_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six sources through extraction and all layers; rows and a checksum of every table written."""
     root = shared_folder(spark, "layers")
-    plans.extract_all(r.load_sources(spark, sf_dir), f"{root}/raw", r.LOAD_EXTRACTS)
+    plans.extract_all(spark, r.load_sources(spark, sf_dir), f"{root}/raw", r.LOAD_EXTRACTS)
     lake = plans.Lakehouse(spark, root=root, catalog=False)
     plans.land_all(lake, f"{root}/raw")
     plans.load_silver(lake)
