@@ -25,9 +25,9 @@ def _plain(value):
 
 
 def sql_rows(con, sql: str):
+    types = {row[0]: row[1] for row in con.execute(f"DESCRIBE {sql}").fetchall()}
     cursor = con.execute(sql)
     columns = [d[0] for d in cursor.description]
-    types = {d[0]: str(d[1]) for d in cursor.description}
     order = sorted(range(len(columns)), key=columns.__getitem__)
     rows = Counter(tuple(_plain(row[i]) for i in order) for row in cursor.fetchall())
     return sorted(columns), rows, types
