@@ -33,33 +33,43 @@ REPORT_COLUMNS = [f.name for f in REPORT_SCHEMA if f.name != "executado_em"]
 
 @dataclass(frozen=True)
 class Check:
-    """An aggregate that must not exceed a ceiling; ``digits`` rounds only what is shown."""
+    """Rows that must not be there: those meeting ``bad``, or those beyond the first of each key.
+
+    The value is their number, or with ``percent`` their share of all rows; it
+    is held against the ceiling unrounded.
+    """
 
     test: str
     metric: str
-    value: Column = field(compare=False)
+    bad: Column | None = field(default=None, compare=False)
+    keys: tuple[str, ...] = ()
+    percent: bool = False
     ceiling: float = 0.0
     detail: str = ""
-    digits: int | None = None
 
 
 def duplicates(keys: Sequence[str]) -> Check:
     """Rows beyond the first of each key; a null in a key counts as a value."""
-    surplus = F.count(F.lit(1)) - F.count_distinct(F.struct(*keys))
-    return Check("duplicidade", "linhas_duplicadas", surplus, detail=f"chave=({', '.join(keys)})")
+    return Check("duplicidade", "linhas_duplicadas", keys=tuple(keys), detail=f"chave=({', '.join(keys)})")
 
 
 def missing(column: str, ceiling: float) -> Check:
-    """Share of nulls in percent; the unrounded share is held against the ceiling."""
-    share = percentage(F.count_if(F.col(column).isNull()), F.count(F.lit(1)))
-    return Check("ausentes", f"pct_nulo_{column}", share, ceiling, f"teto={ceiling}%", digits=2)
+    """Share of nulls in percent."""
+    return Check(
+        "ausentes",
+        f"pct_nulo_{column}",
+        F.col(column).isNull(),
+        percent=True,
+        ceiling=ceiling,
+        detail=f"teto={ceiling}%",
+    )
 
 
 def unresolved(column: str, metric: str = "municipios_sem_uf", detail: str | None = None) -> Check:
     """Rows whose lookup found nothing."""
     if detail is None:
         detail = f"{column} nao resolvida pelo codigo IBGE"
-    return Check("chave_relacionamento", metric, F.count_if(F.col(column).isNull()), detail=detail)
+    return Check("chave_relacionamento", metric, F.col(column).isNull(), detail=detail)
 
 
 def out_of_range(
@@ -69,39 +79,60 @@ def out_of_range(
     outside = (F.col(column) < low) | (F.col(column) > high)
     if detail is None:
         detail = f"taxa deve ficar em [{low:g},{high:g}]"
-    return Check("consistencia", metric, F.count_if(outside), detail=detail)
+    return Check("consistencia", metric, outside, detail=detail)
 
 
 def cast_rejects(column: str, kind: str) -> Check:
     """Raw values that typing turned into null."""
     lost = F.col(column).isNotNull() & F.col(column).try_cast(kind).isNull()
-    return Check("tipagem", f"rejeitados_{column}", F.count_if(lost), detail=f"tipo={kind}")
+    return Check("tipagem", f"rejeitados_{column}", lost, detail=f"tipo={kind}")
+
+
+def _totals(df: DataFrame, keys: Sequence[str], counts: dict[str, Column]) -> DataFrame:
+    """One row: all rows, distinct keys, rows meeting each condition.
+
+    Counting per key first and adding up keeps it to one pass.  The keys are
+    grouped as plain columns, so a table laid out by one of them is not shuffled.
+    """
+    counts = {"_rows": F.count(F.lit(1)), **counts}
+    if not keys:
+        return df.agg(*(c.alias(name) for name, c in counts.items()))
+    per_key = df.groupBy(*keys).agg(*(c.alias(name) for name, c in counts.items()))
+    sums = (F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counts)
+    return per_key.agg(F.count(F.lit(1)).alias("_keys"), *sums)
 
 
 def run_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
     """One report row per check from a single pass over ``df``."""
-    measured = df.agg(*(c.value.cast("double").alias(f"_{i}") for i, c in enumerate(checks)))
+    key_sets = {c.keys for c in checks if c.keys}
+    if len(key_sets) > 1:
+        raise ValueError("one pass can look for duplicates of one key only")
+    counts = {f"_{i}": F.count_if(c.bad) for i, c in enumerate(checks) if not c.keys}
+    totals = _totals(df, next(iter(key_sets), ()), counts)
     rows = []
-    for i, c in enumerate(checks):
-        value = F.col(f"_{i}")
+    for i, check in enumerate(checks):
+        value = F.col("_rows") - F.col("_keys") if check.keys else F.col(f"_{i}")
+        if check.percent:
+            value = percentage(value, F.col("_rows"))
+        value = value.cast("double")
         rows.append(
             F.struct(
-                F.lit(c.test).alias("teste"),
+                F.lit(check.test).alias("teste"),
                 F.lit(table).alias("tabela"),
-                F.lit(c.metric).alias("metrica"),
-                (value if c.digits is None else round_half_up(value, c.digits)).alias("valor"),
-                F.when(value <= c.ceiling, OK).otherwise(ALERT).alias("status"),
-                F.lit(c.detail).alias("detalhe"),
+                F.lit(check.metric).alias("metrica"),
+                (round_half_up(value, 2) if check.percent else value).alias("valor"),
+                F.when(value <= check.ceiling, OK).otherwise(ALERT).alias("status"),
+                F.lit(check.detail).alias("detalhe"),
             )
         )
-    return measured.select(F.inline(F.array(*rows)))
+    return totals.select(F.inline(F.array(*rows)))
 
 
 def unknown_codes(
     df: DataFrame, dimension: DataFrame, column: str, table: str, metric: str = "siglas_fora_da_dim"
 ) -> DataFrame:
     """Report row with the number of distinct codes the dimension does not hold."""
-    check = Check("chave_relacionamento", metric, F.count(F.lit(1)))
+    check = Check("chave_relacionamento", metric, F.lit(True))
     return run_checks(missing_from(df, dimension, column), table, [check])
 
 

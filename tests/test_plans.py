@@ -105,9 +105,33 @@ def test_products_shuffle_once_and_prune(spark, integrated_table):
 
 def test_row_checks_share_one_scan(spark, integrated_table):
     checks = [q.duplicates(["ano", "id_entity"]), q.missing("taxa", 1.0), q.unresolved("sigla")]
-    text = plan(q.run_checks(integrated_table, "t", checks))
+    report = q.run_checks(integrated_table, "t", checks)
+    text = plan(report)
     assert text.count("FileScan") == 1
     assert "Expand" not in text
+    # laid out by entity: only the counts themselves travel
+    assert exchanges(report) == 1 and "Exchange SinglePartition" in text
+
+
+def test_a_hot_territory_is_split_where_the_dimension_is_too_large_to_broadcast(spark, no_broadcast):
+    rows = spark.range(0, 60_000, 1, 6).selectExpr("IF(id % 3 = 0, id % 50, 7) AS code", "id")
+    zones = spark.range(0, 50).selectExpr("id AS code", "CAST(id AS string) AS label")
+    tight = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key) for key in tight}
+    for key, value in tight.items():
+        spark.conf.set(key, value)
+    try:
+        joined = op.lookup(rows, zones, "code")
+        assert len(joined.collect()) == 60_000
+        assert "SortMergeJoin(skew=true)" in plan(joined)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def test_published_year_is_pruned_and_columns_keep_their_order(spark, tmp_path, integrated_table):

@@ -87,3 +87,8 @@ def test_history_grows_and_shows_its_trend(spark, full_report, tmp_path):
     trend = q.quality_trend(stored)
     assert trend.where("variacao IS NULL").count() == 6
     assert trend.where("variacao = 0").count() == 6
+
+
+def test_one_key_per_pass(spark):
+    with pytest.raises(ValueError):
+        q.run_checks(spark.range(1), "t", [q.duplicates(["a"]), q.duplicates(["b"])])

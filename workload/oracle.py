@@ -257,6 +257,9 @@ ORACLE = {
                o_totalprice AS taxa, CAST(NULL AS DOUBLE) AS prioridade, o_orderstatus AS situacao,
                CAST(CASE WHEN o_orderstatus IN ('F', 'O') THEN 1 ELSE 0 END AS INTEGER) AS flag
         FROM orders""",
+    "cast_rejects": _counted("tipagem", "orders", "rejeitados_ano", "o_orderstatus = 'P'", "tipo=int")
+    + " UNION ALL "
+    + _counted("tipagem", "orders", "rejeitados_taxa", "FALSE", "tipo=double"),
     "raw_landing": f"""{_relations("fact_raw")}
         SELECT CAST(ano AS VARCHAR) AS ano, id_entity, rede,
                CAST(CAST(taxa AS DECIMAL(18,2)) AS VARCHAR) AS taxa,

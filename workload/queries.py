@@ -90,20 +90,29 @@ def extract_prefix_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(r.student_raw(spark, sf_dir), spec)
 
 
-def typed_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text to types; the orders in status P write their year as ``1998.0``, which is no integer."""
+def _order_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as text; those in status P write their year as ``1998.0``, which is no integer."""
     year = F.year("o_orderdate").cast("string")
-    text = r.table(spark, sf_dir, "orders").select(
+    return r.table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("pedido"),
         F.when(F.col("o_orderstatus") == "P", F.concat(year, F.lit(".0"))).otherwise(year).alias("ano"),
         F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("taxa"),
         F.col("o_orderpriority").alias("prioridade"),
         F.col("o_orderstatus").alias("situacao"),
     )
+
+
+def typed_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = _order_text(spark, sf_dir)
     done = typed(text, {"pedido": "string", "ano": "int", "taxa": "double", "prioridade": "double"})
     return done.withColumn("flag", flag_from_text("situacao", ("f", "o")))
 
 
+def cast_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checks = [q.cast_rejects("ano", "int"), q.cast_rejects("taxa", "double")]
+    return q.run_checks(_order_text(spark, sf_dir), "orders", checks)
+
+
 def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact to CSV, landed as text with provenance, read back without it."""
     text = r.fact_raw(spark, sf_dir).select(
@@ -339,6 +348,7 @@ QUERIES = {
         extract_filtered,
         extract_prefix_sample,
         typed_projection,
+        cast_rejects,
         raw_landing,
         load_audit,
         partitioned_publish,
