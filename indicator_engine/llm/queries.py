@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from indicator_engine.llm.exact_dedup import exact_dedup
+from indicator_engine.llm.language_id import identify, learn
 from indicator_engine.llm.mixing import mix
 from indicator_engine.llm.token_counts import count_tokens
+from indicator_engine.llm.token_output import token_files
+from indicator_engine.llm.top_k import top_k
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,10 +22,27 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = learn(docs.where(~held_out))
+    judged = identify(docs.select("doc_id", "text"), model)
+    return judged.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = exact_dedup(spark, table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -29,7 +50,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_language_id": op2_language_id,
     "op3_mixing": op3_mixing,
+    "op4_top_k": op4_top_k,
+    "op8_token_output": op8_token_output,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
@@ -77,6 +101,22 @@ SELECT doc_id, size, source_size, target, taken,
             WHEN ramp = 0 THEN start / target
             ELSE (sqrt((1 - ramp) * (1 - ramp) + 4 * ramp * (start / target)) - (1 - ramp)) / (2 * ramp) END AS position
 FROM counted
+""",
+    "op4_top_k": """
+WITH vectors AS (
+  SELECT vec_id, [floor(CAST(x AS DOUBLE) * 256) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+         vec_id, score
+  FROM scored)
+SELECT * FROM ranked WHERE rank <= 5
 """,
     "op10_exact_dedup": r"""
 WITH rows AS (
