@@ -107,9 +107,9 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id",
     Columns of ``docs`` with the names of the new ones are replaced.
     """
     groups = written(spark, exact_groups(docs, id_column, text_column), "exact-groups")
-    total = groups.agg(F.sum("_size").alias("_total"))
-    heavy = groups.crossJoin(F.broadcast(total)).where(F.col("_size") * HEAVY >= F.col("_total")).drop("_total")
-    heavy = heavy.where(F.col("_size") > 1).withColumnRenamed("_digest", "_heavy_digest")
+    total = groups.agg(F.sum("_size")).first()[0] or 0
+    heavy = groups.where((F.col("_size") > 1) & (F.col("_size") * HEAVY >= total))
+    heavy = heavy.withColumnRenamed("_digest", "_heavy_digest")
     rows = docs.withColumn("text_sha256", F.sha2(F.regexp_replace(text_or_empty(text_column), SPACE, " "), 256))
     new = ("keep_id", "group_size", "kept")
     rows = rows.select(*(c for c in rows.columns if c not in new))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from indicator_engine.llm.exact_dedup import exact_dedup
 from indicator_engine.llm.language_id import identify, learn
 from indicator_engine.llm.mixing import mix
+from indicator_engine.llm.substring_dedup import remove_repeats
 from indicator_engine.llm.token_counts import count_tokens
 from indicator_engine.llm.token_output import token_files
 from indicator_engine.llm.top_k import top_k
@@ -43,6 +44,10 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(spark, table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = exact_dedup(spark, table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -54,6 +59,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_top_k": op4_top_k,
     "op8_token_output": op8_token_output,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
