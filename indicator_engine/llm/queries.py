@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from indicator_engine.llm.exact_dedup import exact_dedup
 from indicator_engine.llm.language_id import identify, learn
 from indicator_engine.llm.mixing import mix
+from indicator_engine.llm.near_dedup import near_groups
 from indicator_engine.llm.substring_dedup import remove_repeats
 from indicator_engine.llm.token_counts import count_tokens
 from indicator_engine.llm.token_output import token_files
@@ -40,6 +41,10 @@ def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.where("vec_id % 50 = 0"))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(spark, table(spark, sf_dir, "documents"), words=3, threshold=85)
+
+
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -58,6 +63,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_mixing": op3_mixing,
     "op4_top_k": op4_top_k,
+    "op7_near_dedup": op7_near_dedup,
     "op8_token_output": op8_token_output,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_exact_dedup": op10_exact_dedup,
