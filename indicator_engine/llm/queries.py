@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indicator_engine.llm.exact_dedup import exact_dedup
+from indicator_engine.llm.html_extract import extract_text
 from indicator_engine.llm.language_id import identify, learn
 from indicator_engine.llm.mixing import mix
 from indicator_engine.llm.near_dedup import near_groups
@@ -41,6 +42,10 @@ def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.where("vec_id % 50 = 0"))
 
 
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(spark, table(spark, sf_dir, "documents"), words=3, threshold=85)
 
@@ -63,6 +68,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_mixing": op3_mixing,
     "op4_top_k": op4_top_k,
+    "op6_html_extract": op6_html_extract,
     "op7_near_dedup": op7_near_dedup,
     "op8_token_output": op8_token_output,
     "op9_substring_dedup": op9_substring_dedup,
