@@ -11,6 +11,7 @@ from indicator_engine.llm.html_extract import extract_text
 from indicator_engine.llm.language_id import identify, learn
 from indicator_engine.llm.mixing import mix
 from indicator_engine.llm.near_dedup import near_groups
+from indicator_engine.llm.sentence_pieces import decode, segment
 from indicator_engine.llm.substring_dedup import remove_repeats
 from indicator_engine.llm.token_counts import count_tokens
 from indicator_engine.llm.token_output import token_files
@@ -42,6 +43,21 @@ def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.where("vec_id % 50 = 0"))
 
 
+def op5_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best and second best segmentation of every text, and whether decoding gives the text back."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    pieces = decode(segment(table(spark, sf_dir, "documents").select("doc_id", "text"), path), path)
+    return pieces.select(
+        "doc_id",
+        F.size("piece_ids").cast("long").alias("n_pieces"),
+        F.get("piece_scores", F.lit(0)).alias("score"),
+        F.get("piece_scores", F.lit(1)).alias("second_score"),
+        F.size("piece_scores").alias("n_segmentations"),
+        F.xxhash64("piece_ids").alias("ids_hash"),
+        (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("round_trip"),
+    )
+
+
 def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"))
 
@@ -68,6 +84,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_mixing": op3_mixing,
     "op4_top_k": op4_top_k,
+    "op5_sentence_pieces": op5_sentence_pieces,
     "op6_html_extract": op6_html_extract,
     "op7_near_dedup": op7_near_dedup,
     "op8_token_output": op8_token_output,
