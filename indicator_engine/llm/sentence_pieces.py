@@ -24,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from indicator_engine.llm.token_counts import Memo, by_bytes
 
@@ -258,9 +259,9 @@ def segment(
     texts have no pieces and one segmentation, of score 0.  Null ids, repeated rows and
     empty tables pass through; columns of the new names are replaced.
     """
-    new = {"piece_ids": "array<int>", "piece_scores": "array<double>"}
+    new = {"piece_ids": T.ArrayType(T.IntegerType()), "piece_scores": T.ArrayType(T.DoubleType())}
     if alternatives:
-        new["piece_alternatives"] = "array<array<int>>"
+        new["piece_alternatives"] = T.ArrayType(T.ArrayType(T.IntegerType()))
     keep = [c for c in docs.columns if c not in new]
     at = keep.index(text_column)
     schema = docs.select(*keep).schema
