@@ -134,7 +134,8 @@ def sketch(own: np.ndarray, size: int) -> np.ndarray:
 
 
 def band_keys(registers: np.ndarray, n_bands: int) -> np.ndarray:
-    rows = registers.reshape(n_bands, -1).astype(np.uint64)
+    # registers of a band lie far apart: neighbours may have borrowed from the same one
+    rows = registers.reshape(-1, n_bands).T.astype(np.uint64)
     key = np.arange(1, n_bands + 1, dtype=np.uint64) * _MIX
     for i in range(rows.shape[1]):
         key = (key ^ rows[:, i]) * _BASE
@@ -158,7 +159,7 @@ def chance(n_a: np.ndarray, n_b: int, size: int) -> np.ndarray:
     return (octave(n_a) * octave(np.array([n_b]))).sum(axis=0) / (1 << MANTISSA)
 
 
-def _signatures(words: int, n_bands: int):
+def _signatures(words: int, n_bands: int, threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size, one, two = [], [], []
@@ -169,8 +170,9 @@ def _signatures(words: int, n_bands: int):
                 size.append(len(own))
                 one.append(int(own.sum(dtype=np.uint64).view(np.int64)) if len(own) else 0)
                 two.append(int(_mixed(own ^ _BASE).sum(dtype=np.uint64).view(np.int64)) if len(own) else 0)
-                # one of the equal sets of a batch stands for them in the bands
-                new = len(own) > 0 and ids[row] is not None and least.setdefault((one[-1], two[-1]), row) == row
+                # one of the equal sets of a batch stands for them in the bands; a set with
+                # n elements is at most n / (n + 1) like another
+                new = len(own) * (100 - threshold) >= threshold and ids[row] is not None and least.setdefault((one[-1], two[-1]), row) == row
                 keys.append(band_keys(sketch(own, n_bands * ROWS), n_bands).tobytes() if new else None)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -314,7 +316,7 @@ def near_groups(
     rows = docs.select(F.col(id_column).cast("long").alias("_id"), F.col(text_column).cast("string").alias("_text"))
     signed = written(
         spark,
-        rows.mapInArrow(_signatures(words, n_bands), "_id long, _n long, _one long, _two long, _keys binary"),
+        rows.mapInArrow(_signatures(words, n_bands, threshold), "_id long, _n long, _one long, _two long, _keys binary"),
         "near-signatures",
     )
     known = signed.where("_n > 0 AND _id IS NOT NULL")
