@@ -14,6 +14,9 @@ from indicator_engine.session import shared_folder
 
 #: the six characters that end a word (Java and DuckDB spelling of the same class)
 SPACE = r"[\x20\x09-\x0D]+"
+
+#: statistics of this size are Spark's default for "not known", or a guess at a join
+UNKNOWN = 1 << 55
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -47,15 +50,18 @@ def unpack_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
 
 
-def input_bytes(frame: DataFrame) -> int:
-    """Size of the input by the optimizer's statistics, from file sizes; 1 if unknown."""
-    size = frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return max(1, int(str(size)))
+def input_bytes(frame: DataFrame) -> int | None:
+    """Size by the optimizer's statistics (file sizes of a table); None where there are none."""
+    size = int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < UNKNOWN else None
 
 
-def parts_for(frame: DataFrame, mb: int = 8, least: int = 1) -> int:
-    """Number of pieces of about ``mb`` MB of stored input; follows the input without a cap."""
-    return max(least, math.ceil(input_bytes(frame) / (mb << 20)))
+def parts_for(frame: DataFrame, mb: int, least: int = 1) -> int:
+    """Number of pieces of about ``mb`` MB of stored input, or what the session sets where its size is unknown."""
+    size = input_bytes(frame)
+    if size is None:
+        return max(least, int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return max(least, math.ceil(size / (mb << 20)))
 
 
 def written(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:

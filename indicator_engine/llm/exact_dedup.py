@@ -110,26 +110,24 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id",
     total = groups.agg(F.sum("_size")).first()[0] or 0
     heavy = groups.where((F.col("_size") > 1) & (F.col("_size") * HEAVY >= total))
     heavy = heavy.withColumnRenamed("_digest", "_heavy_digest")
-    rows = docs.withColumn("text_sha256", F.sha2(F.regexp_replace(text_or_empty(text_column), SPACE, " "), 256))
-    new = ("keep_id", "group_size", "kept")
-    rows = rows.select(*(c for c in rows.columns if c not in new))
-
-    def judged(frame: DataFrame) -> DataFrame:
-        kept = F.col("_keep").isNull() | F.col(id_column).eqNullSafe(F.col("_keep"))
-        return frame.select(
-            *rows.columns, F.col("_keep").alias("keep_id"), F.col("_size").alias("group_size"), kept.alias("kept")
-        )
-
+    new = ("keep_id", "group_size", "kept", "text_sha256")
+    kept_columns = [c for c in docs.columns if c not in new]
+    names = [f"_c{i}" for i in range(len(kept_columns))]  # apart from the names used here
+    digest = F.sha2(F.regexp_replace(text_or_empty(text_column), SPACE, " "), 256)
+    rows = docs.select(*(F.col(c).alias(n) for c, n in zip(kept_columns, names)), digest.alias("_sha"))
+    own_id = F.col(names[kept_columns.index(id_column)])
     # at most HEAVY rows of 88 bytes
-    seen = rows.join(
-        F.broadcast(heavy.select("_heavy_digest", F.col("_keep").alias("_hk"), F.col("_size").alias("_hs"))),
-        F.col("text_sha256") == F.col("_heavy_digest"),
-        "left",
-    )
+    heavy = F.broadcast(heavy.select("_heavy_digest", F.col("_keep").alias("_hk"), F.col("_size").alias("_hs")))
+    seen = rows.join(heavy, F.col("_sha") == F.col("_heavy_digest"), "left")
     common = seen.where(F.col("_heavy_digest").isNotNull()).select(
-        *rows.columns, F.col("_hk").alias("_keep"), F.col("_hs").alias("_size")
+        *names, "_sha", F.col("_hk").alias("_keep"), F.col("_hs").alias("_size")
     )
-    rare = seen.where(F.col("_heavy_digest").isNull()).select(*rows.columns).join(
-        groups, F.col("text_sha256") == F.col("_digest")
+    rare = seen.where(F.col("_heavy_digest").isNull()).join(groups, F.col("_sha") == F.col("_digest"))
+    judged = common.unionByName(rare.select(*names, "_sha", "_keep", "_size"))
+    return judged.select(
+        *(F.col(n).alias(c) for c, n in zip(kept_columns, names)),
+        F.col("_keep").alias("keep_id"),
+        F.col("_size").alias("group_size"),
+        (F.col("_keep").isNull() | own_id.eqNullSafe(F.col("_keep"))).alias("kept"),
+        F.col("_sha").alias("text_sha256"),
     )
-    return judged(common.unionByName(rare.select(*rows.columns, "_keep", "_size")))

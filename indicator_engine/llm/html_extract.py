@@ -50,7 +50,7 @@ _TOKEN = re.compile(
     r"<!--(?:-?>|.*?(?:--!?>|\Z))"
     r"|<[!?][^>]*(?:>|\Z)"
     r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:"[^"]*"|'[^']*'|[^>"'])*+)(?P<close>>|\Z)"""
-    r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)(?P<close2>>|\Z)"
+    r"|</?[a-zA-Z].*"  # a quote that never closes takes the rest
     r"|</[^>]*(?:>|\Z)"
     r"|(?P<text><?[^<]*)",
     re.DOTALL,
@@ -123,11 +123,11 @@ def parse(page: str) -> list[Node]:
             if in_link:
                 linked += len(text)
             continue
-        tag = m["tag"] or m["tag2"]
-        if tag is None or not (m["close"] or m["close2"]):
+        tag = m["tag"]
+        if tag is None or not m["close"]:
             continue  # comment, declaration, or a tag cut off by the end of the page
         tag = tag.lower()
-        if m["end"] or m["end2"]:
+        if m["end"]:
             if tag == "a":
                 in_link = 0
             elif tag in BLOCK:
@@ -160,7 +160,7 @@ def parse(page: str) -> list[Node]:
                 node = node.parent
             if node is not None and node.tag in shut:
                 here = node.parent
-            tokens, main = _attributes(tag, m["attrs"] or m["attrs2"] or "")
+            tokens, main = _attributes(tag, m["attrs"])
             if tag in ("html", "body") and here.tag in ("html", "body", "head"):
                 here = root
             here = Node(tag, here, tokens, at)
