@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from indicator_engine.llm.common import pack, text_bytes, unpack
+from indicator_engine.llm.common import pack, slices, text_bytes, unpack
 
 DIMS = 4096
 PER_LANGUAGE = 300
@@ -171,17 +171,20 @@ def learn(
     lang_column: str = "lang",
 ) -> Model | None:
     """A model from rows with text and language; None if there is none."""
+    key = ["_lang", "_order", "_tie"]
     rows = labelled.select(
         F.col(lang_column).cast("string").alias("_lang"),
-        F.col(text_column).cast("string").alias("_text"),
         F.xxhash64(id_column).alias("_order"),
         F.xxhash64(text_column).alias("_tie"),
+        F.col(text_column).cast("string").alias("_text"),
     ).where("_lang IS NOT NULL AND length(_text) > 0")
     top = F.row_number().over(W.partitionBy("_lang").orderBy("_order", "_tie"))
-    sample = rows.withColumn("_rank", top).where(F.col("_rank") <= per_language).select("_lang", "_text")
+    # hashes are ranked, not texts; at most per_language rows a language are chosen
+    chosen = rows.select(*key).withColumn("_rank", top).where(F.col("_rank") <= per_language).select(*key).distinct()
+    sample = rows.join(F.broadcast(chosen), key).dropDuplicates(key).select("_lang", "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 256):
             described = [pack(v.astype("<f4")) for part in features(*text_bytes(batch.column("_text"))) for v in part]
             yield pa.RecordBatch.from_arrays([batch.column("_lang"), pa.array(described, pa.binary())], ["_lang", "_v"])
 
@@ -205,7 +208,7 @@ def identify(docs: DataFrame, model: Model | None, text_column: str = "text") ->
     schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             column = batch.column(at).cast(pa.large_string())
             letters = [has_letter(t) for t in column.to_pylist()]
             langs, scores = [UNDETERMINED] * len(letters), np.zeros(len(letters))
