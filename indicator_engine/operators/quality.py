@@ -5,14 +5,15 @@ All checks that look at the rows of one table share one aggregation over it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from indicator_engine.functions import percentage, round_half_up
+from indicator_engine.functions import as_kind, percentage, round_half_up
 from indicator_engine.operators.lookup import missing_from
 
 OK, ALERT = "ok", "alerta"
@@ -84,10 +85,19 @@ def out_of_range(
 
 def cast_rejects(column: str, kind: str) -> Check:
     """Raw values that typing turned into null."""
-    lost = F.col(column).isNotNull() & F.col(column).try_cast(kind).isNull()
+    lost = F.col(column).isNotNull() & as_kind(column, kind).isNull()
     return Check("tipagem", f"rejeitados_{column}", lost, detail=f"tipo={kind}")
 
 
+def load_rejects(raw: Mapping[str, DataFrame], types: Mapping[str, Mapping[str, str]]) -> DataFrame:
+    """Report rows with the values that typing turns into null, per raw table and column."""
+    reports = [
+        run_checks(raw[table], table, [cast_rejects(column, kind) for column, kind in kinds.items()])
+        for table, kinds in types.items()
+    ]
+    return reduce(DataFrame.unionByName, reports)
+
+
 def _totals(df: DataFrame, keys: Sequence[str], counts: dict[str, Column]) -> DataFrame:
     """One row: all rows, distinct keys, rows meeting each condition.
 

@@ -1,30 +1,36 @@
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def ordered_sample(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
-    """The first ``n`` rows by ``order_by`` (null last) — the same rows on every run.
+SLOTS = 256
+
+
+def ordered_sample(df: DataFrame, n: int, order_by: Sequence[str], slots: int = SLOTS) -> DataFrame:
+    """The first ``n`` rows by ``order_by`` (null last) — the same rows on every run; top-n by definition.
 
     A plain sort-and-limit sends up to ``n`` rows of every input partition to
-    one task.  Here each of a fixed number of slots first cuts its share to
-    ``n`` rows, so the last task sees slots x n rows however large the input.
-    The slot follows the input partition, not a value, so equal rows spread.
+    one task.  Here the slots of one level each cut their share to ``n`` rows
+    before the next level joins them: ``slots`` first, then their square root,
+    so the last task sees sqrt(slots) x n rows however large the input or the
+    cluster.  The slot follows the input partition, not a value, so equal rows
+    spread.
     """
-    slots = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c).asc_nulls_last() for c in order_by]
-    within_slot = Window.partitionBy("_slot").orderBy(*order)
-    return (
-        df.withColumn("_slot", F.pmod(F.spark_partition_id(), F.lit(slots)))
-        .withColumn("_rank", F.row_number().over(within_slot))
-        .where(F.col("_rank") <= n)
-        .drop("_slot", "_rank")
-        .orderBy(*order)
-        .limit(n)
-    )
+    levels = (slots, max(1, math.isqrt(slots)))
+    cut = df.withColumn("_slot", F.pmod(F.spark_partition_id(), F.lit(slots)))
+    for size in levels:
+        within_slot = Window.partitionBy("_slot").orderBy(*order)
+        cut = (
+            cut.withColumn("_slot", F.col("_slot") % size)
+            .withColumn("_rank", F.row_number().over(within_slot))
+            .where(F.col("_rank") <= n)
+        )
+    return cut.drop("_slot", "_rank").orderBy(*order).limit(n)
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:

@@ -61,7 +61,7 @@ class Lakehouse:
     without it the catalog decides.  ``catalog=False`` leaves the catalog alone
     and keeps tables as folders under ``root``.  ``buckets`` lays the entity
     tables out by entity, so that the integration, the latest row and the
-    evolution need no further shuffle (see ``session.SETTINGS``).
+    evolution need no further shuffle.
     """
 
     spark: SparkSession
@@ -116,14 +116,25 @@ def extract_all(
     )
 
 
-def land_all(lake: Lakehouse, folder: str, entities: Mapping[str, str] = RAW_ENTITIES) -> list[LoadAudit]:
-    """One raw table per CSV entity."""
+def land_all(
+    lake: Lakehouse,
+    folder: str,
+    entities: Mapping[str, str] = RAW_ENTITIES,
+    columns: Mapping[str, Sequence[str]] | None = None,
+) -> list[LoadAudit]:
+    """One raw table per CSV entity.
+
+    All files of an entity must have the same header: that of ``columns`` where it
+    names the entity, else that of the first file.
+    """
     lake.prepare(lake.bronze)
 
     def land(item: tuple[str, str]) -> LoadAudit:
         file, name = item
         path = f"{folder.rstrip('/')}/{file}"
-        return land_raw(lake.spark, path, lake.table(lake.bronze, name), origin=file, names=lake.names)
+        declared = list(columns[name]) if columns and name in columns else None
+        table = lake.table(lake.bronze, name)
+        return land_raw(lake.spark, path, table, origin=file, columns=declared, names=lake.names)
 
     return side_by_side(lake.spark, land, entities.items())
 
@@ -152,7 +163,7 @@ def load_silver(lake: Lakehouse) -> list[LoadAudit]:
     # from the written tables: the fact and the targets are not computed again
     fact = lake.read(lake.silver, "fato_municipio")
     targets = lake.read(lake.silver, "meta_municipio_long")
-    return [*audits, save((INTEGRATED, integrate(fact, targets, n, unique_inputs=True)))]
+    return [*audits, save((INTEGRATED, integrate(fact, targets, n, unique_inputs=True, by_entity=bool(lake.buckets))))]
 
 
 def load_gold(lake: Lakehouse) -> list[LoadAudit]:

@@ -6,6 +6,7 @@ the plans rely on is set here.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,9 +17,6 @@ SETTINGS = {
     # run-time re-planning: join strategy by measured size, skew split, coalesce
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # tables bucketed by entity also serve joins on (entity, year): the rows of
-    # one entity are at most one per year, so the coarser layout cannot skew
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
@@ -37,9 +35,9 @@ def shared_folder(spark: SparkSession, label: str) -> str:
 
     Only a local session may fall back to a machine-local folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^,]*(,[0-9]+)?\])?", spark.conf.get("spark.master", "")):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="indicator-engine-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

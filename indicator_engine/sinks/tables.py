@@ -6,7 +6,8 @@ table from a plan that reads it: Parquet has no snapshot to read from.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
@@ -35,6 +36,34 @@ class Table:
         df = spark.table(self.name) if self.name else spark.read.parquet(self.path)
         return df.select(*columns) if columns else df
 
+    def replace(self, spark: SparkSession, lay_out: Callable[[DataFrame], DataFrameWriter], df: DataFrame) -> None:
+        """Write ``df`` in the table's place; until it is written whole the old rows stay.
+
+        A folder is written beside the old one and renamed.  A catalog table, whose
+        layout lives in the catalog, is computed under another name first and then
+        copied from there, so only that copy can be cut short.
+        """
+        mark = uuid.uuid4().hex
+        if self.name is None:
+            staged = f"{self.path.rstrip('/')}.staged-{mark}"
+            try:
+                lay_out(df).format("parquet").save(staged)
+            except BaseException:
+                _folders(spark, staged).delete(staged)
+                raise
+            _folders(spark, staged).swap(staged, self.path)
+        elif not spark.catalog.tableExists(self.name):
+            self.save(lay_out(df))
+        else:
+            staged = Table(f"{self.name}__staged_{mark}", self.path and f"{self.path.rstrip('/')}.staged-{mark}")
+            try:
+                staged.save(df.write)
+                self.save(lay_out(staged.read(spark)).mode("overwrite"))
+            finally:
+                spark.sql(f"DROP TABLE IF EXISTS {staged.name}")
+                if staged.path:
+                    _folders(spark, staged.path).delete(staged.path)
+
     def save(self, writer: DataFrameWriter) -> None:
         writer = writer.format("parquet")
         if self.name is None:
@@ -45,6 +74,30 @@ class Table:
             writer.option("path", self.path).saveAsTable(self.name)
 
 
+class _folders:
+    """Rename and delete on the file system that holds a path."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.path = spark._jvm.org.apache.hadoop.fs.Path
+        self.files = self.path(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+    def delete(self, path: str) -> None:
+        self.files.delete(self.path(path), True)
+
+    def swap(self, staged: str, path: str) -> None:
+        """Put a folder in another's place; the old one is gone only once the new one stands."""
+        old = f"{staged}.old"
+        held = self.files.exists(self.path(path))
+        if held and not self.files.rename(self.path(path), self.path(old)):
+            raise OSError(f"cannot move {path}")
+        if not self.files.rename(self.path(staged), self.path(path)):
+            if held:
+                self.files.rename(self.path(old), self.path(path))
+            raise OSError(f"cannot put {staged} in the place of {path}")
+        if held:
+            self.delete(old)
+
+
 @dataclass(frozen=True)
 class LoadAudit:
     """What a write left behind; the rows are counted while they are written."""
@@ -70,20 +123,22 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 def overwrite(
     df: DataFrame, table: Table, *, bucket_by: str | None = None, buckets: int | None = None
 ) -> LoadAudit:
-    """Replace a table; its schema may change.
+    """Replace a table; its schema may change, and a write that fails leaves the old rows.
 
     With ``bucket_by`` and ``buckets`` the rows are laid out by that key, one
     file per bucket, so that later joins and windows on it need no shuffle.
     """
-    if bucket_by and buckets:
-        if table.name is None:
-            raise ValueError("a bucketed table needs a catalog name")
-        laid_out, seen = _counted(df.repartition(buckets, bucket_by))
-        writer = laid_out.write.bucketBy(buckets, bucket_by).sortBy(bucket_by)
-    else:
-        laid_out, seen = _counted(df)
-        writer = laid_out.write
-    table.save(writer.mode("overwrite"))
+    bucketed = bool(bucket_by and buckets)
+    if bucketed and table.name is None:
+        raise ValueError("a bucketed table needs a catalog name")
+
+    def lay_out(rows: DataFrame) -> DataFrameWriter:
+        if not bucketed:
+            return rows.write
+        return rows.repartition(buckets, bucket_by).write.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+
+    counted, seen = _counted(df)
+    table.replace(df.sparkSession, lay_out, counted)
     return LoadAudit(table.label, seen.get["rows"])
 
 
@@ -93,8 +148,10 @@ def publish(df: DataFrame, table: Table, partition: str = Names.year) -> LoadAud
     The rebalance groups each year into files of the advisory size: a small
     year is one file, a year holding most rows is split over many tasks.
     """
-    laid_out, seen = _counted(df.hint("rebalance", partition))
-    table.save(laid_out.write.mode("overwrite").partitionBy(partition))
+    counted, seen = _counted(df)
+    table.replace(
+        df.sparkSession, lambda rows: rows.hint("rebalance", partition).write.partitionBy(partition), counted
+    )
     return LoadAudit(table.label, seen.get["rows"])
 
 
@@ -106,7 +163,15 @@ def append(df: DataFrame, table: Table, schema: T.StructType) -> LoadAudit:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV with a header that ``read_csv_text`` reads back as it was, outer spaces, quotes and breaks included."""
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def land_raw(
@@ -116,7 +181,9 @@ def land_raw(
     *,
     origin: str | None = None,
     columns: list[str] | None = None,
+    multi_line: bool = False,
     names: Names = Names(),
 ) -> LoadAudit:
     """CSV to raw table: text as it came, plus provenance."""
-    return overwrite(with_provenance(read_csv_text(spark, path, columns), origin, names), table)
+    text = read_csv_text(spark, path, columns, multi_line=multi_line)
+    return overwrite(with_provenance(text, origin, names), table)

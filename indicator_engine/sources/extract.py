@@ -66,11 +66,16 @@ EXTRACTS = {
             "proficiencia",
             "peso_aluno",
         ),
-        starts_with=("id_municipio", "35"),
-        sample=20000,
     ),
 }
 
+# The sample of one state that a small trial run takes instead of all students.
+STUDENT_SAMPLE = Extract(
+    EXTRACTS["alunos"].columns,
+    starts_with=("id_municipio", "35"),
+    sample=20000,
+)
+
 
 def extract(source: DataFrame, spec: Extract, order_by: Sequence[str] | None = None) -> DataFrame:
     """Apply an ``Extract``; a sample is the first rows by ``order_by`` (all columns when not given)."""

@@ -19,18 +19,30 @@ RAW_ENTITIES = {
 }
 
 
-def read_csv_text(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """CSV with a header, every column string.
-
-    Without ``columns`` the names come from the header, which costs a look at
-    one file; with them the scan needs no such job and each header is checked
-    against the list.
+def read_csv_text(
+    spark: SparkSession, path: str, columns: list[str] | None = None, *, multi_line: bool = False
+) -> DataFrame:
+    """CSV with a header, every column string, values as they came.
+
+    A quote inside a quoted value is doubled.  Without ``columns`` the names come
+    from the header, which costs a look at one file; with them the scan needs no
+    such job.  Either way every file's header is checked against the names, and a
+    row with more or fewer values stops the read: columns are never taken by
+    position from another order.  Values with line breaks need ``multi_line``,
+    with which a file is one task; without it such a row stops the read.
     """
-    reader = spark.read.option("header", True).option("inferSchema", False)
-    if columns is not None:
-        text = T.StructType([T.StructField(name, T.StringType()) for name in columns])
-        reader = reader.schema(text).option("enforceSchema", False)
-    return reader.csv(path)
+    reader = (
+        spark.read.option("header", True)
+        .option("inferSchema", False)
+        .option("escape", '"')
+        .option("nullValue", "\u0000")  # nothing between two commas is null, an empty quoted text is not
+        .option("mode", "FAILFAST")
+        .option("multiLine", multi_line)
+    )
+    if columns is None:
+        columns = reader.option("enforceSchema", False).csv(path).columns
+    text = T.StructType([T.StructField(name, T.StringType()) for name in columns])
+    return reader.schema(text).option("enforceSchema", False).csv(path)
 
 
 def with_provenance(df: DataFrame, origin: str | None, names: Names = Names()) -> DataFrame:

@@ -14,7 +14,7 @@ from indicator_engine.functions import as_timestamp
 from indicator_engine.names import Names
 from indicator_engine.sinks.tables import Table
 
-# Declared by hand: a field that does not parse is null, the schema never moves.
+# Fields of an event.  Declared by hand: a field that does not parse is null, the schema never moves.
 EVENT_SCHEMA = T.StructType(
     [
         T.StructField("id_municipio", T.StringType()),
@@ -26,17 +26,29 @@ EVENT_SCHEMA = T.StructType(
 )
 
 
+#: longer than any file has existed
+NO_AGE_LIMIT = "36500d"
+
+
 def read_events(
     spark: SparkSession,
     folder: str,
     schema: T.StructType = EVENT_SCHEMA,
     max_files_per_batch: int | None = 10_000,
+    max_file_age: str = NO_AGE_LIMIT,
+    archive: str | None = None,
 ) -> DataFrame:
     """Stream of the JSON files in a folder, each file once per checkpoint.
 
-    The file cap bounds a micro-batch, so a backlog drains in several batches.
+    The file cap bounds a micro-batch, so a backlog drains in several batches; no
+    file is left out.  A file of any age is read: Spark's own limit of a week
+    would skip backfills and copies that keep their times.  The price is that the
+    source remembers every file it has seen; ``archive`` bounds that by moving
+    drained files to another folder.
     """
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).option("maxFileAge", max_file_age)
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if max_files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     return reader.json(folder)
@@ -49,8 +61,14 @@ def stamp(events: DataFrame, names: Names = Names()) -> DataFrame:
     )
 
 
-def land(stream: DataFrame, table: Table, checkpoint: str) -> StreamingQuery:
-    """Append everything that has arrived to the table, then stop."""
+def land(stream: DataFrame, table: Table, checkpoint: str, files_per_batch: int | None = None) -> StreamingQuery:
+    """Append everything that has arrived to the table, then stop.
+
+    A micro-batch of many small event files would leave as many small table files;
+    ``files_per_batch`` is the most that it writes.
+    """
+    if files_per_batch is not None:
+        stream = stream.coalesce(files_per_batch)
     writer = (
         stream.writeStream.format("parquet")
         .outputMode("append")
@@ -72,10 +90,12 @@ def ingest(
     names: Names = Names(),
     schema: T.StructType = EVENT_SCHEMA,
     max_files_per_batch: int | None = 10_000,
+    max_file_age: str = NO_AGE_LIMIT,
+    files_per_batch: int | None = None,
 ) -> DataFrame:
     """Drain the folder into the table and return the table."""
-    events = read_events(spark, folder, schema, max_files_per_batch)
-    land(stamp(events, names), table, checkpoint).awaitTermination()
+    events = read_events(spark, folder, schema, max_files_per_batch, max_file_age)
+    land(stamp(events, names), table, checkpoint, files_per_batch).awaitTermination()
     return table.read(spark)
 
 

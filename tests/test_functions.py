@@ -77,3 +77,19 @@ def test_percentage(spark, part, total, expected):
 def test_snake_columns(spark):
     df = spark.createDataFrame([(1, 2, 3, 4)], ["Código Município", "taxaMédia", "_rn", "id_uf"])
     assert snake_columns(df).columns == ["codigo_municipio", "taxa_media", "_rn", "id_uf"]
+
+
+ODD_TEXT = [
+    "", " ", "1", " 1 ", "+1", "-1", "--1", "1.", "1.5", ".5", ".", "-.5", "+.", "1e3", "1e", "e3", "1E-3", "1.5e+3", "1,5", "1 2",
+    "2147483647", "2147483648", "-2147483648", "-2147483649", "2147483647.9", "99999999999999999999", "NaN", "nan", "-NaN",
+    "Infinity", "-infinity", "+Infinity", "inf", "-Inf", "INF", "1d", "1f", "1D", "1.5F", "0x1p3", "0x10", "1_000", "\t1\n",
+    "\u00a01", "1\u00a0", "\u0661", "\x001", "\x7f1", "1e400", "-1e400", "1e-400", "2003.0", "true", None, "Infinityd", "nanf", "1l",
+]
+
+
+@pytest.mark.parametrize(("guarded", "kind"), [(as_int, "int"), (as_double, "double")])
+def test_the_guard_accepts_what_the_cast_accepts(spark, guarded, kind):
+    df = spark.createDataFrame([(v,) for v in ODD_TEXT], "v string")
+    for r in df.select("v", guarded("v").alias("a"), F.col("v").try_cast(kind).alias("b")).collect():
+        assert str(r.a) == str(r.b), repr(r.v)
+    assert spark.range(1).select(guarded("id")).dtypes[0][1] == kind

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from indicator_engine.operators import quality as q
 from indicator_engine.plans import Lakehouse, extract_all, land_all, load_gold, load_silver, run_quality
-from indicator_engine.sources import RAW_ENTITIES, read_csv_text
+from indicator_engine.sources import EXTRACTS, RAW_ENTITIES, STUDENT_SAMPLE, read_csv_text
 from tests import fixtures_raw
 
 SP = ("SP", "Sao Paulo", "Sudeste")
@@ -182,7 +182,7 @@ def test_extraction_feeds_the_load(spark, tmp_path, raw):
         if name == "alunos":
             table = table.union(table.withColumn("id_municipio", F.lit("1100015")))
         sources[name] = table
-    extract_all(spark, sources, str(tmp_path / "csv"))
+    extract_all(spark, sources, str(tmp_path / "csv"), EXTRACTS | {"alunos": STUDENT_SAMPLE})
     lake = Lakehouse(spark, root=str(tmp_path / "lake"), catalog=False)
     run(lake, tmp_path / "csv")
     check(lake)

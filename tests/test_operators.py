@@ -7,7 +7,7 @@ import pytest
 from indicator_engine import operators as op
 from indicator_engine.names import Names
 from indicator_engine.operators.targets import latest_overall
-from indicator_engine.sources import EXTRACTS, Extract, extract, state_dimension
+from indicator_engine.sources import EXTRACTS, STUDENT_SAMPLE, Extract, extract, state_dimension
 
 N = Names()
 
@@ -252,7 +252,8 @@ def test_extract(spark):
 
 def test_extract_lists():
     assert EXTRACTS["uf"].equals == ("rede", "5") and EXTRACTS["municipio"].equals == ("rede", "3")
-    assert EXTRACTS["alunos"].sample == 20000 and EXTRACTS["alunos"].starts_with == ("id_municipio", "35")
+    assert EXTRACTS["alunos"].sample is None and EXTRACTS["alunos"].starts_with is None
+    assert STUDENT_SAMPLE.sample == 20000 and STUDENT_SAMPLE.starts_with == ("id_municipio", "35")
     assert [len(e.columns) for e in EXTRACTS.values()] == [6, 6, 11, 12, 13, 10]
 
 

@@ -87,9 +87,11 @@ def test_bucketed_layers_need_no_shuffle(spark, small, no_broadcast, integrated_
     fact, targets = Table("plan_silver.fact"), Table("plan_silver.targets")
     overwrite(r.entity_fact(spark, small), fact, bucket_by="id_entity", buckets=4)
     overwrite(r.entity_targets(spark, small), targets, bucket_by="id_entity", buckets=4)
-    joined = op.integrate(fact.read(spark), targets.read(spark), r.NAMES, unique_inputs=True)
+    joined = op.integrate(fact.read(spark), targets.read(spark), r.NAMES, unique_inputs=True, by_entity=True)
     assert exchanges(joined) == 0 and "SortMergeJoin" in plan(joined)
-    assert exchanges(op.integrate(fact.read(spark), targets.read(spark), r.NAMES)) == 0
+    assert exchanges(op.integrate(fact.read(spark), targets.read(spark), r.NAMES, by_entity=True)) == 0
+    plain = op.integrate(fact.read(spark), targets.read(spark), r.NAMES, unique_inputs=True)
+    assert sorted(map(str, joined.collect())) == sorted(map(str, plain.collect()))
     assert exchanges(op.latest_indicator(integrated_table, r.NAMES)) == 0
     assert exchanges(op.evolution(integrated_table, r.NAMES)) == 0
 

@@ -1,9 +1,10 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from indicator_engine.session import shared_folder
-from indicator_engine.sinks import Table, audit_frame, export_csv, land_raw, overwrite
+from indicator_engine.sinks import Table, audit_frame, ensure_schema, export_csv, land_raw, overwrite, publish
 from indicator_engine.sources import read_csv_text, read_raw
 
 
@@ -13,7 +14,7 @@ def test_csv_round_trip_keeps_text_and_null(spark, tmp_path):
     back = read_csv_text(spark, str(tmp_path / "csv"))
     assert back.dtypes == df.dtypes
     # an empty field reads as null, also when it was an empty string
-    assert {tuple(r) for r in back.collect()} == {("007", None, "a,b"), (None, "x", 'say "é"')}
+    assert {tuple(r) for r in back.collect()} == {("007", None, "a,b"), ("", "x", 'say "é"')}
 
 
 def test_declared_columns_are_checked_against_the_header(spark, tmp_path):
@@ -52,3 +53,42 @@ def test_shared_folder_follows_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_folder(spark, "x"), shared_folder(spark, "x")
     assert first.startswith(base) and first != second
+
+
+def _failing(df):
+    return df.withColumn("v", F.raise_error(F.lit("broken")).cast("long"))
+
+
+@pytest.mark.parametrize("kind", ["folder", "managed", "external", "partitioned"])
+def test_a_write_that_fails_leaves_the_old_rows(spark, tmp_path, kind):
+    ensure_schema(spark, "keep_rows")
+    path = str(tmp_path / "t") if kind != "managed" else None
+    table = Table(f"keep_rows.{kind}" if kind in ("managed", "external") else None, path)
+    write = (lambda df: publish(df, table, "y")) if kind == "partitioned" else (lambda df: overwrite(df, table))
+    rows = spark.range(10).selectExpr("id AS v", "id % 2 AS y")
+    write(rows)
+    with pytest.raises(Exception, match="broken"):
+        write(_failing(rows))
+    assert table.read(spark).count() == 10
+    assert write(rows.where("v < 4")).rows == 4
+    assert table.read(spark).count() == 4
+    assert [p for p in tmp_path.iterdir() if "staged" in p.name] == []
+
+
+def test_csv_keeps_every_value(spark, tmp_path):
+    values = [' lead', 'trail ', 'say "hi", you', 'back\\slash', 'a\nb', 'x,"', None, "1"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i string, v string")
+    export_csv(df, str(tmp_path / "csv"))
+    back = read_csv_text(spark, str(tmp_path / "csv"), ["i", "v"], multi_line=True)
+    assert {(r.i, r.v) for r in back.collect()} == {(str(i), v) for i, v in enumerate(values)}
+    with pytest.raises(Exception):
+        read_csv_text(spark, str(tmp_path / "csv"), ["i", "v"]).collect()
+
+
+@pytest.mark.parametrize("second", ["uf,ano\nRJ,2023\n", "ano,uf,x\n2023,RJ,1\n"])
+@pytest.mark.parametrize("declared", [["ano", "uf"], None])
+def test_columns_are_never_taken_by_position(spark, tmp_path, second, declared):
+    (tmp_path / "a.csv").write_text("ano,uf\n2024,SP\n")
+    (tmp_path / "b.csv").write_text(second)
+    with pytest.raises(Exception):
+        read_csv_text(spark, str(tmp_path), declared).collect()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from indicator_engine.sources.territory import STATES
+
 _RELATIONS = {
     "fact_raw": """
         SELECT CAST(year(o_orderdate) AS INTEGER) AS ano,
@@ -295,6 +297,42 @@ ORACLE = {
     "stream_summary": f"""
         SELECT CAST(year(ts) AS INTEGER) AS ano, count(*) AS eventos, {_shown("avg(value)", "taxa_media")}
         FROM events GROUP BY 1""",
+    "csv_fidelity": """
+        SELECT CAST(doc_id AS VARCHAR) AS doc_id, md5(' "' || text || '", ' || chr(10)) AS text_md5,
+               CASE doc_id % 3 WHEN 0 THEN '' WHEN 1 THEN ' a ' END AS mark
+        FROM documents""",
+    "provenance": "SELECT 'fact.csv' AS origem, count(*) AS linhas, 0::BIGINT AS sem_hora FROM orders",
+    "state_lookup": f"""
+        WITH estados(codigo_uf, sigla_uf, nome_uf, regiao) AS (VALUES {", ".join(map(str, STATES))})
+        SELECT CAST(s_nationkey + 11 AS VARCHAR) AS codigo_uf, sigla_uf, nome_uf, regiao, count(*) AS fornecedores
+        FROM supplier LEFT JOIN estados ON codigo_uf = CAST(s_nationkey + 11 AS VARCHAR) GROUP BY ALL""",
+    "extract_sample": f"""{_relations("student_raw")}
+        SELECT ano, id, part_key, score, flag FROM student_raw ORDER BY ano, id, part_key, score, flag LIMIT 5000""",
+    "snake_names": """
+        SELECT n_nationkey AS codigo_nacao, n_name AS nome_da_nacao, n_regionkey AS _regiao
+        FROM nation""",
+    "stream_incremental": """
+        SELECT CAST(user_id AS VARCHAR) AS id_municipio, CAST(year(ts) AS INTEGER) AS ano,
+               value AS taxa_alfabetizacao, epoch_us(ts) AS evento_us
+        FROM events""",
+    "stream_malformed": """
+        SELECT CASE WHEN event_id % 4 <> 2 THEN CAST(user_id AS VARCHAR) END AS id_municipio,
+               CAST(CASE event_id % 4 WHEN 0 THEN 2020 WHEN 1 THEN 2021 WHEN 3 THEN 2022 END AS INTEGER) AS ano,
+               CAST(NULL AS DOUBLE) AS taxa_alfabetizacao,
+               CAST(CASE WHEN event_id % 4 = 3 THEN 1.5 END AS DOUBLE) AS media_portugues,
+               CAST(NULL AS BIGINT) AS evento_us
+        FROM events""",
+    "load_rejects": " UNION ALL ".join(
+        _counted("tipagem", "orders", f"rejeitados_{column}", lost, f"tipo={kind}")
+        for column, lost, kind in (
+            ("ano", "o_orderstatus = 'P'", "int"),
+            ("taxa", "FALSE", "double"),
+            ("prioridade", "TRUE", "double"),
+        )
+    ),
+    "catalog_load": f"""{_relations("fact_raw")},
+        counts AS (SELECT ano, count(DISTINCT id_entity) AS linhas FROM fact_raw WHERE rede = '3-MEDIUM' GROUP BY ano)
+        SELECT * FROM counts UNION ALL SELECT * FROM counts""",
     "layered_load": _loaded(),
     "indicator_from_scores": f"""{_relations("student_raw")}
         SELECT ano, id, {_shown("avg(CASE WHEN score >= 50000 THEN 1 ELSE 0 END)", "prop_alfabetizado_amostra")}

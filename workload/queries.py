@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,12 +10,12 @@ from pyspark.sql import functions as F
 
 from indicator_engine import operators as op
 from indicator_engine import plans, streaming
-from indicator_engine.functions import decode, flag_from_text, typed
+from indicator_engine.functions import decode, flag_from_text, snake_columns, typed
 from indicator_engine.names import Names
 from indicator_engine.operators import quality as q
 from indicator_engine.session import shared_folder
-from indicator_engine.sinks import Table, append, audit_frame, export_csv, land_raw, overwrite, publish
-from indicator_engine.sources import Extract, extract, read_raw
+from indicator_engine.sinks import Table, append, audit_frame, ensure_schema, export_csv, land_raw, overwrite, publish
+from indicator_engine.sources import Extract, extract, read_raw, state_dimension
 from workload import relations as r
 
 N = r.NAMES
@@ -234,6 +235,99 @@ def stream_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.show(streaming.summary_by_year(_landed_events(spark, sf_dir)), "taxa_media")
 
 
+def csv_fidelity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts with quotes, commas and breaks through export, landing and read; null apart from empty."""
+    texts = r.table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("doc_id"),
+        F.concat(F.lit(' "'), "text", F.lit('", \n')).alias("text"),
+        F.when(F.col("doc_id") % 3 == 0, F.lit("")).when(F.col("doc_id") % 3 == 1, F.lit(" a ")).alias("mark"),
+    )
+    folder = shared_folder(spark, "csv-fidelity")
+    export_csv(texts, f"{folder}/csv")
+    landed = Table(path=f"{folder}/bronze")
+    land_raw(spark, f"{folder}/csv", landed, origin="documents.csv", columns=texts.columns, multi_line=True)
+    return read_raw(landed.read(spark)).select("doc_id", F.md5("text").alias("text_md5"), "mark")
+
+
+def provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per origin, and how many lack an ingest time."""
+    folder = shared_folder(spark, "provenance")
+    export_csv(r.fact_raw(spark, sf_dir).select("ano", "id_entity"), f"{folder}/csv")
+    landed = Table(path=f"{folder}/bronze")
+    land_raw(spark, f"{folder}/csv", landed, origin="fact.csv")
+    names = Names()
+    return landed.read(spark).groupBy(F.col(names.origin).alias("origem")).agg(
+        F.count(F.lit(1)).alias("linhas"), F.count_if(F.col(names.ingested).isNull()).alias("sem_hora")
+    )
+
+
+def state_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers per state whose code is their nation's key plus 11; codes of no state keep null labels."""
+    names = Names()
+    suppliers = r.table(spark, sf_dir, "supplier").select((F.col("s_nationkey") + 11).cast("string").alias(names.code))
+    labelled = op.lookup(suppliers, state_dimension(spark), names.code, literal=True)
+    return labelled.groupBy(names.code, *names.labels).agg(F.count(F.lit(1)).alias("fornecedores"))
+
+
+def extract_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 5000 lines by all columns: a limit that cuts at every size."""
+    spec = Extract(("ano", "id", "part_key", "score", "flag"), sample=5000)
+    return extract(r.student_raw(spark, sf_dir), spec)
+
+
+def snake_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = r.table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey").toDF("Código Nação", "nomeDaNação", "_Região")
+    return snake_columns(named)
+
+
+def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the events drained, nothing drained, then the rest: each event once."""
+    folder = shared_folder(spark, "stream-incremental")
+    events, out = r.event_json(spark, sf_dir), Table(path=f"{folder}/out")
+    for even in (True, None, False):
+        if even is not None:
+            half = events.where((F.crc32(F.col("evento_ts").cast("string")) % 2 == 0) == even)
+            half.write.mode("append").json(f"{folder}/in")
+        landed = streaming.ingest(spark, f"{folder}/in", out, f"{folder}/checkpoint", files_per_batch=2)
+    return landed.select("id_municipio", "ano", "taxa_alfabetizacao", F.unix_micros("evento_ts").alias("evento_us"))
+
+
+def stream_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with text for a number, a bad time, or no JSON at all: nulls, never a lost row."""
+    folder = shared_folder(spark, "stream-malformed")
+    kind = F.col("event_id") % 4
+    line = (
+        F.when(kind == 0, F.format_string('{"id_municipio": "%d", "ano": 2020, "taxa_alfabetizacao": "x"}', "user_id"))
+        .when(kind == 1, F.format_string('{"id_municipio": "%d", "ano": 2021, "evento_ts": "yesterday"}', "user_id"))
+        .when(kind == 2, F.lit("no json"))
+        .otherwise(F.format_string('{"id_municipio": "%d", "ano": 2022, "media_portugues": 1.5}', "user_id"))
+    )
+    r.table(spark, sf_dir, "events").select(line.alias("value")).write.text(f"{folder}/in")
+    landed = streaming.ingest(spark, f"{folder}/in", Table(path=f"{folder}/out"), f"{folder}/checkpoint")
+    return landed.select("id_municipio", "ano", "taxa_alfabetizacao", "media_portugues", F.unix_micros("evento_ts").alias("evento_us"))
+
+
+def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a report says about values lost by typing, the text written as a raw table first."""
+    raw = Table(path=f"{shared_folder(spark, 'load-rejects')}/orders")
+    overwrite(_order_text(spark, sf_dir), raw)
+    return q.load_rejects({"orders": raw.read(spark)}, {"orders": {"ano": "int", "taxa": "double", "prioridade": "double"}})
+
+
+def catalog_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schema, bucketed overwrite, append and read by catalog name."""
+    ensure_schema(spark, "catalog_load")
+    table = Table(f"catalog_load.fact_{uuid.uuid4().hex}")
+    fact = r.entity_fact(spark, sf_dir).select("ano", "id_entity", "sigla")
+    overwrite(fact, table, bucket_by="id_entity", buckets=4)
+    overwrite(fact, table, bucket_by="id_entity", buckets=4)
+    counts = table.read(spark).groupBy("ano").agg(F.count(F.lit(1)).alias("linhas"))
+    history = Table(f"catalog_load.counts_{uuid.uuid4().hex}")
+    for _ in range(2):
+        append(counts, history, counts.schema)
+    return history.read(spark)
+
+
 def indicator_from_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     share = op.indicator_from_scores(r.student_raw(spark, sf_dir), r.STUDENT, cut=50_000)
     return r.show(share, "prop_alfabetizado_amostra")
@@ -363,6 +457,15 @@ QUERIES = {
         quality_history,
         stream_landed,
         stream_summary,
+        csv_fidelity,
+        provenance,
+        state_lookup,
+        extract_sample,
+        snake_names,
+        stream_incremental,
+        stream_malformed,
+        load_rejects,
+        catalog_load,
         layered_load,
         indicator_from_scores,
         region_target_attached,

@@ -62,6 +62,8 @@ SCHEMAS = {
     "l_shipdate timestamp_ntz",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "region": "r_regionkey int, r_name string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "supplier": "s_suppkey bigint, s_nationkey int",
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
 }
 
