@@ -41,6 +41,8 @@ TRIGGER = 20
 CHUNK_BYTES = 8 << 20
 #: positions hashed at once, so that the arrays stay in the processor's cache
 _SLAB = 1 << 16
+#: bytes of phrases sorted at once
+_SORTED = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -84,10 +86,8 @@ def window_triggers(data: np.ndarray, ends: np.ndarray, known: np.ndarray, lengt
     """Trigger of each window of a chunk; ``_NONE`` where the window leaves its document or has no id."""
     out = triggers(data, length)
     first = np.where(known, np.maximum(ends[1:] - length + 1, ends[:-1]), ends[:-1])
-    edge = np.zeros(len(data) + 1, np.int32)
-    np.add.at(edge, first, 1)
-    np.add.at(edge, ends[1:], -1)
-    out[np.cumsum(edge)[: len(out)] > 0] = _NONE
+    for start, stop in zip(first.tolist(), ends[1:].tolist()):
+        out[start:stop] = _NONE
     return out
 
 
@@ -322,9 +322,26 @@ def suffix_ranks(data: np.ndarray, length: int) -> np.ndarray:
     return rank[:n].astype(np.int64)
 
 
-def _first_documents(texts: list[bytes], least: np.ndarray, length: int) -> list[np.ndarray]:
-    """For each phrase the smallest id of each of its windows, over all the phrases."""
+def _first_documents(texts: list[bytes], least: np.ndarray, marks: np.ndarray, length: int) -> list[np.ndarray]:
+    """For each phrase the smallest id of each of its windows, over all phrases with its trigger.
+
+    Phrases come in order of their triggers; triggers are taken together while their
+    phrases have less than ``_SORTED`` bytes.
+    """
     sizes = np.array([len(t) for t in texts])
+    heads = np.flatnonzero(np.concatenate([[True], marks[1:] != marks[:-1]]))
+    ends = np.cumsum(sizes)[np.append(heads[1:], len(texts)) - 1]
+    out: list[np.ndarray] = []
+    at, done = 0, 0
+    while at < len(heads):
+        to = max(at + 1, int(np.searchsorted(ends, done + _SORTED, "right")))
+        rows = slice(heads[at], heads[to] if to < len(heads) else len(texts))
+        out += _lowest(texts[rows], sizes[rows], least[rows], length)
+        at, done = to, ends[to - 1]
+    return out
+
+
+def _lowest(texts: list[bytes], sizes: np.ndarray, least: np.ndarray, length: int) -> list[np.ndarray]:
     data = np.frombuffer(b"".join(texts), np.uint8)
     starts = np.cumsum(sizes) - sizes
     windows = sizes - length + 1
@@ -376,8 +393,9 @@ def _spans(length: int):
         heads = np.flatnonzero(np.concatenate([[True], marks[order][1:] != marks[order][:-1]]))
         many = np.zeros(len(texts), bool)
         many[order] = np.repeat(np.diff(np.append(heads, len(order))) > 1, np.diff(np.append(heads, len(order))))
-        mixed = np.flatnonzero(many)
-        owners = dict(zip(mixed.tolist(), _first_documents([texts[i] for i in mixed], least[mixed], length))) if len(mixed) else {}
+        mixed = order[many[order]]
+        lows = _first_documents([texts[i] for i in mixed], least[mixed], marks[mixed], length) if len(mixed) else []
+        owners = dict(zip(mixed.tolist(), lows))
         out = []
         for chunk, (phrase, first, ids) in zip(chunks, parses):
             whole = ~many[phrase] & (least[phrase] < ids)
@@ -417,15 +435,15 @@ def _cut(with_bytes: bool):
                 starts = np.cumsum(starts)
                 np.add.at(edge, starts, 1)
                 np.add.at(edge, starts + sizes, -1)
-            gone = np.cumsum(edge)[:-1] > 0
+            gone = np.cumsum(edge, dtype=np.int32, out=edge)[:-1] > 0
             sizes = np.diff(chunk.ends)
-            total = np.concatenate([[0], np.cumsum(gone)])
+            total = np.concatenate([edge[:1] * 0, np.cumsum(gone, dtype=np.int32)])
             removed = total[chunk.ends[1:]] - total[chunk.ends[:-1]]
             begin = gone.copy()
             begin[1:] &= ~gone[:-1]
             inside = chunk.ends[:-1][sizes > 0]
             begin[inside] = gone[inside]
-            runs_ = np.concatenate([[0], np.cumsum(begin)])
+            runs_ = np.concatenate([edge[:1] * 0, np.cumsum(begin, dtype=np.int32)])
             spans = runs_[chunk.ends[1:]] - runs_[chunk.ends[:-1]]
             left = chunk.data[~gone].tobytes()
             stops = np.cumsum(sizes - removed)
@@ -467,11 +485,12 @@ def remove_repeats(
         raise ValueError("length must be at least 32")
     rows = docs.select(F.col(id_column).cast("long").alias("_id"), F.col(text_column).cast("string").alias("_text"))
     chunks = written(spark, rows.mapInArrow(_pack_chunks, _CHUNK), "repeat-chunks")
-    buckets = parts_for(docs, 8, 8)
+    packed = chunks.where("_chunk IS NOT NULL")  # one exchange of the texts serves both joins
+    buckets = parts_for(chunks, 6, 8)
 
     def by_chunk(pieces: DataFrame, how: str) -> DataFrame:
         per_chunk = pieces.groupBy("_chunk").agg(F.collect_list("_payload").alias("_payloads"))
-        return chunks.join(per_chunk, "_chunk", how)
+        return packed.join(per_chunk, "_chunk", how)
 
     own = chunks.mapInArrow(_trigger_pieces(buckets, length), _PIECE)
     shared = own.groupBy("_bucket").applyInArrow(_shared_triggers, _PIECE)
