@@ -160,3 +160,17 @@ def test_a_year_that_holds_most_rows_is_split(spark, tmp_path):
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
     assert len(list((tmp_path / "hot" / "ano=2024").glob("*.parquet"))) > 4
     assert spark.read.parquet(str(tmp_path / "hot")).count() == 200_000
+
+
+def test_region_targets_are_joined_on_region_and_year(spark, small, no_broadcast):
+    """A region with most rows is dealt by year too, so no task gets all of it."""
+    targets = op.keyed_targets(r.region_target_wide(spark, small), "sigla", r.TARGET_YEARS, r.NAMES)
+    text = plan(op.attach_region_target(r.integrated(spark, small), targets, r.NAMES))
+    assert "hashpartitioning(sigla" in text
+    assert all(", ano" in part.split(")")[0] for part in text.split("hashpartitioning(sigla")[1:3])
+
+
+def test_a_sample_is_cut_on_two_levels(spark, no_broadcast):
+    rows = op.sampling.ordered_sample(spark.range(100).selectExpr("id", "id % 7 AS v"), 5, ["v", "id"])
+    assert plan(rows).count("WindowGroupLimit") >= 2
+    assert [tuple(x) for x in rows.collect()] == sorted((x, x % 7) for x in range(0, 35, 7))
