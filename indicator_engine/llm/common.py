@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -71,6 +72,13 @@ def written(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller parts, so that what is made of a part stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All texts of an Arrow string column as one byte array, and their offsets; null is empty."""
     if isinstance(column, pa.ChunkedArray):
