@@ -26,11 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from indicator_engine.llm.token_counts import Memo, by_bytes
+from indicator_engine.llm.common import slices
+from indicator_engine.llm.token_counts import Memo, by_bytes, worker_wide
 
 N_BEST = 4
 SIGN = "▁"
-MEMO_WORDS = 600_000
+MEMO_WORDS = 200_000
 UNKNOWN_PENALTY = 10.0
 #: characters of words solved side by side
 _SLAB = 1 << 16
@@ -57,6 +58,9 @@ class Pieces:
         if any(SIGN in self.text[i].lstrip(SIGN) for i in plain):
             raise ValueError("a piece goes on after a word sign; the lattice cannot be cut at words")
         self.of_byte = {i: b for b, i in self.byte.items()}
+        self.texts = np.array(self.text, object)
+        self.bytes_at = np.zeros(self.size, bool)
+        self.bytes_at[list(self.of_byte)] = True
         self.unknown_id = model.unk_id()
         self.unknown = float(self.score[plain].min()) - UNKNOWN_PENALTY if plain else -UNKNOWN_PENALTY
         self.longest = max((len(self.text[i]) for i in plain), default=1)
@@ -65,15 +69,47 @@ class Pieces:
         for i in plain:
             state = 0
             for c in self.text[i]:
-                key = state << 21 | ord(c)
+                key = state << 21 | ord(c) + 1
                 if key not in edges:
                     edges[key] = len(ends)
                     ends.append(-1)
                 state = edges[key]
             ends[state] = i
-        self.keys = np.array(sorted(edges), np.int64)
-        self.child = np.array([edges[k] for k in self.keys.tolist()], np.int64)
         self.ends = np.array(ends, np.int64)
+        # edges of the trie in a hash table with short probes
+        keys, child = np.array(list(edges), np.int64), np.array(list(edges.values()), np.int64)
+        self.bits = max(4, int(4 * len(keys)).bit_length())
+        self.keys = np.full((1 << self.bits) + 64, -1, np.int64)
+        self.child = np.zeros(len(self.keys), np.int64)
+        self.probes = 0
+        home = self.home(keys)
+        left = np.arange(len(keys))
+        while len(left):
+            slot = home[left] + self.probes
+            free = left[self.keys[slot] < 0]
+            self.keys[home[free] + self.probes] = keys[free]  # of several the last one stays
+            set_ = self.keys[home[left] + self.probes] == keys[left]
+            done = left[set_]
+            self.child[home[done] + self.probes] = child[done]
+            left = left[~set_]
+            self.probes += 1
+
+    def home(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def step(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which keys are edges, and the states these lead to."""
+        slot = self.home(keys)
+        found = self.keys[slot] == keys
+        left = np.flatnonzero(~found & (self.keys[slot] >= 0))
+        for i in range(1, self.probes):
+            there = self.keys[slot[left] + i]
+            hit = left[there == keys[left]]
+            found[hit] = True
+            slot[hit] += i
+            left = left[(there >= 0) & (there != keys[left])]
+        return found, self.child[slot[found]]
 
     def unknown_ids(self, char: int) -> list[int]:
         if len(self.byte) < 256:
@@ -83,23 +119,22 @@ class Pieces:
     # ---- many words at once
 
     def lattices(self, words: list[str]):
-        """``score[L-1, start, word]`` and ``piece`` of the same shape; minus infinity where there is no edge."""
+        """Code points plus 1, ``score[L-1, start, word]``, ``piece`` of that shape; minus infinity where no edge is."""
         n = len(words)
         length = np.fromiter(map(len, words), np.int64, n)
         width = int(length.max())
         chars = np.zeros((width + self.longest, n), np.int64)
         row = np.repeat(np.arange(n), length)
         place = np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
-        chars[place, row] = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
+        chars[place, row] = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4") + np.int64(1)
         flat = chars.ravel()
         at = np.flatnonzero(flat[: width * n])
         state = np.zeros(len(at), np.int64)
         scores, pieces = [], []
         for size in range(1, self.longest + 1):
             key = state << 21 | flat[at + (size - 1) * n]
-            slot = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            found = self.keys[slot] == key
-            at, state = at[found], self.child[slot[found]]
+            found, state = self.step(key)
+            at = at[found]
             if not len(at) and size > 1:
                 break
             end = self.ends[state]
@@ -160,7 +195,7 @@ class Pieces:
             k = size[end[live], live]
             start = end[live] - k
             got = piece[k - 1, start, live].astype(np.int64)
-            ids[used[live], live] = np.where(got < 0, -1 - chars[start, live], got)
+            ids[used[live], live] = np.where(got < 0, -chars[start, live], got)
             off[k - 1, start, live] = _NO
             used[live] += 1
             end[live] = start
@@ -192,30 +227,33 @@ class Pieces:
         into: list[list[tuple[int, int, float]]] = [[] for _ in range(len(word) + 1)]
         for k, start in zip(*np.nonzero(score[:, :, 0] > _NO)):
             into[start + k + 1].append((int(start), int(piece[k, start, 0]), float(score[k, start, 0])))
-        agenda = [(-best[len(word)], 0, len(word), 0.0, ())]
+        # of equal hopes the one nearer the start goes first, so ties end soon
+        agenda = [(-best[len(word)], len(word), 0, 0.0, None)]
         out: list[tuple[float, list[int]]] = []
         pushed = 0
         while agenda and len(out) < n:
-            _, _, end, done, path = heapq.heappop(agenda)
+            _, end, _, done, path = heapq.heappop(agenda)
             if end == 0:
                 ids: list[int] = []
-                for start, p in path:
-                    ids += [p] if p >= 0 else self.unknown_ids(int(chars[start, 0]))
+                while path is not None:
+                    start, p, path = path
+                    ids += [p] if p >= 0 else self.unknown_ids(int(chars[start, 0]) - 1)
                 out.append((done, ids))
                 continue
             for start, p, s in into[end]:
                 pushed += 1
-                heapq.heappush(agenda, (-(best[start] + s + done), pushed, start, s + done, ((start, p), *path)))
+                heapq.heappush(agenda, (-(best[start] + s + done), start, pushed, s + done, (start, p, path)))
         return out
 
-    def decode(self, ids: list[int]) -> str:
-        if any(i in self.of_byte for i in set(ids)):
+    def decode(self, ids: np.ndarray) -> str:
+        if self.bytes_at[ids].any():
             data = b"".join(
-                bytes([self.of_byte[i]]) if i in self.of_byte else self.text[i].encode("utf-8", "surrogatepass") for i in ids
+                bytes([self.of_byte[i]]) if i in self.of_byte else self.text[i].encode("utf-8", "surrogatepass")
+                for i in ids.tolist()
             )
             text = data.decode("utf-8", "replace")
         else:
-            text = "".join(map(self.text.__getitem__, ids))
+            text = "".join(self.texts[ids].tolist())
         return text.replace(SIGN, " ").removeprefix(" ")
 
 
@@ -223,6 +261,8 @@ def words_of(text: str) -> list[str]:
     """Parts of the normalised text, each a run of word signs and what follows; the signs are put in."""
     if not text:
         return []
+    if "  " not in text and SIGN not in text and text[0] != " " and text[-1] != " ":
+        return (SIGN + text.replace(" ", " " + SIGN)).split(" ")
     first, *rest = text.replace(SIGN, " ").split(" ")
     out: list[str] = []
     signs = SIGN
@@ -269,10 +309,10 @@ def segment(
         schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Pieces(path)
-        memo = Memo(model.solve, MEMO_WORDS)
-        several = Memo(lambda words: [model.n_best(w, n_best) for w in words], MEMO_WORDS // 20)
-        for batch in batches:
+        model = worker_wide(f"pieces {path}", lambda: Pieces(path))
+        memo = Memo(model.solve, MEMO_WORDS, f"best {path}")
+        several = Memo(lambda words: [model.n_best(w, n_best) for w in words], MEMO_WORDS // 20, f"{n_best} best {path}")
+        for batch in slices(batches):
             ids: list[bytes] = []
             scores: list[list[float]] = []
             others: list[list[list[int]]] = []
@@ -280,18 +320,15 @@ def segment(
                 parts = [words_of(t) for t in group]
                 known = memo.of(set().union(*parts))
                 for own in parts:
-                    solved = list(map(known.__getitem__, own))
-                    ids.append(b"".join([s[0] for s in solved]))
-                    total = sum([s[1] for s in solved])
-                    gaps = np.array([s[2] for s in solved])
-                    loose = np.argsort(gaps, kind="stable")[: n_best - 1] if len(gaps) else gaps
-                    loose = sorted(int(i) for i in loose if gaps[i] < np.inf)
+                    data, each, gaps = zip(*map(known.__getitem__, own)) if own else ((), (), ())
+                    ids.append(b"".join(data))
+                    loose = _smallest(np.fromiter(gaps, np.float64, len(gaps)), n_best - 1)
                     picked = several.of({own[i] for i in loose})
                     sums = _best_sums([picked[own[i]] for i in loose], n_best)
-                    fixed = total - sum(solved[i][1] for i in loose)
+                    fixed = sum(each) - sum(each[i] for i in loose)
                     scores.append([fixed + s for s, _ in sums])
                     if alternatives:
-                        others.append([_replaced(solved, loose, [picked[own[i]][c][1] for i, c in zip(loose, chosen)]) for _, chosen in sums])
+                        others.append([_replaced(data, loose, [picked[own[i]][c][1] for i, c in zip(loose, chosen)]) for _, chosen in sums])
             flat = np.frombuffer(b"".join(ids), "<i4")
             ends = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids])]).astype(np.int32)
             columns = [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(scores, pa.list_(pa.float64()))]
@@ -302,11 +339,24 @@ def segment(
     return docs.select(*keep).mapInArrow(run, schema)
 
 
-def _replaced(solved: list[tuple], at: list[int], ids: list[list[int]]) -> list[int]:
+def _smallest(gaps: np.ndarray, n: int) -> list[int]:
+    """Places of the n smallest finite gaps, of equal ones the first, in order of place."""
+    if not len(gaps) or n < 1:
+        return []
+    if len(gaps) > n:
+        edge = np.partition(gaps, n - 1)[n - 1]
+        below, tied = np.flatnonzero(gaps < edge), np.flatnonzero(gaps == edge)
+        at = np.sort(np.concatenate([below, tied[: n - len(below)]]))
+    else:
+        at = np.arange(len(gaps))
+    return at[gaps[at] < np.inf].tolist()
+
+
+def _replaced(data: tuple[bytes, ...], at: list[int], ids: list[list[int]]) -> list[int]:
     other = dict(zip(at, ids))
     out: list[int] = []
-    for i, s in enumerate(solved):
-        out += other[i] if i in other else np.frombuffer(s[0], "<i4").tolist()
+    for i, own in enumerate(data):
+        out += other[i] if i in other else np.frombuffer(own, "<i4").tolist()
     return out
 
 
@@ -317,9 +367,14 @@ def decode(pieces: DataFrame, path: str, ids_column: str = "piece_ids") -> DataF
     schema = pieces.select(*keep).schema.add("decoded", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Pieces(path)
-        for batch in batches:
-            texts = [None if ids is None else model.decode(ids) for ids in batch.column(at).to_pylist()]
+        model = worker_wide(f"pieces {path}", lambda: Pieces(path))
+        for batch in slices(batches):
+            column = batch.column(at)
+            flat, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+            known = column.is_valid().to_pylist()
+            texts = [
+                model.decode(flat[a:b]) if ok else None for a, b, ok in zip(ends[:-1].tolist(), ends[1:].tolist(), known)
+            ]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*keep, "decoded"])
 
     return pieces.select(*keep).mapInArrow(run, schema)
