@@ -10,25 +10,37 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
+from array import array
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from indicator_engine.llm.common import slices
+
 BATCH_BYTES = 4 << 20
-MEMO_PIECES = 1_000_000
+MEMO_PIECES = 600_000
+
+# How byte-level tokenizers cut a text into words, and the signs for bytes that do not print.
+BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_SHOWN = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+# ---- end of fixed values
 
 _BESIDE = re.compile(r" \s|\s ")
+_MARK = "\uffff"  # no character
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
 
 
 def pieces(text: str) -> list[str]:
     """Parts of the text that the tokenizer treats alone; together they are the text."""
-    if _BESIDE.search(text):
+    if _MARK in text or _BESIDE.search(text):
         return _SAFE.split(text)
-    first, *rest = text.split(" ")
-    return [first, *(" " + word for word in rest)]
+    return text.replace(" ", _MARK + " ").split(_MARK)
 
 
 def by_bytes(texts: list[str | None], limit: int = BATCH_BYTES) -> Iterator[list[str]]:
@@ -45,33 +57,70 @@ def by_bytes(texts: list[str | None], limit: int = BATCH_BYTES) -> Iterator[list
         yield group
 
 
-def open_tokenizer(path: str) -> tuple[Callable[[list[str]], list], tuple[str, ...], bool]:
-    """Batch encoder, strings of special tokens, and whether cuts at spaces are safe for it."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    if path.endswith(".model"):
-        import sentencepiece
-
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
-        return (lambda texts: model.encode(texts, num_threads=1)), (), False
-    import json
-
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_padding()
-    tokenizer.no_truncation()
-    with open(path) as file:
-        kind = (json.load(file).get("pre_tokenizer") or {})
-    special = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
-    cut = kind.get("type") == "ByteLevel" and kind.get("use_regex", True) and not kind.get("add_prefix_space", True)
-    return (lambda texts: tokenizer.encode_batch_fast(texts, add_special_tokens=False)), special, cut
+class Tokenizer:
+    """A tokenizer file of either library: ids of whole texts, and of pieces where texts may be cut."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.path, self.special, self.cut = path, (), False
+        if path.endswith(".model"):
+            import sentencepiece
+
+            model = sentencepiece.SentencePieceProcessor(model_file=path)
+            self.whole = lambda text: model.encode(text)
+            return
+        import json
+
+        import tokenizers
+
+        tokenizer = tokenizers.Tokenizer.from_file(path)
+        tokenizer.no_padding()
+        tokenizer.no_truncation()
+        self.whole = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+        self.model = tokenizer.model
+        self.special = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
+        with open(path) as file:
+            said = json.load(file)
+        kind = said.get("pre_tokenizer") or {}
+        byte_level = kind.get("type") == "ByteLevel" and kind.get("use_regex", True) and not kind.get("add_prefix_space", True)
+        self.cut = byte_level and said.get("normalizer") is None
+        self.words = regex.compile(BYTE_LEVEL_WORDS).findall
+        self.known = worker_wide(f"words {path}", dict)
+
+    def pieces(self, wanted: list[str]) -> list[bytes]:
+        """Ids of each piece as unsigned 32-bit integers; words met before are not encoded again."""
+        if len(self.known) > MEMO_PIECES:
+            self.known.clear()
+        known, out = self.known, []
+        for piece in wanted:
+            own = []
+            for word in self.words(piece):
+                ids = known.get(word)
+                if ids is None:
+                    shown = word.encode("utf-8", "surrogatepass").decode("latin-1").translate(_SHOWN)
+                    ids = known[word] = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+                own.append(ids)
+            out.append(b"".join(own))
+        return out
+
+
+def worker_wide(name: str, make: Callable):
+    """A value that later tasks of the same Python worker find again."""
+    holder = sys.modules.setdefault("corpus_worker_values", types.ModuleType("corpus_worker_values"))
+    if name not in vars(holder):
+        setattr(holder, name, make())
+    return getattr(holder, name)
 
 
 class Memo:
-    """Values of pieces, computed in batches by ``encode``; emptied when it is full."""
+    """Values of pieces, computed in batches by ``encode``; emptied when it is full.
+
+    The values outlive the task: they depend on the piece and on what ``name`` says only.
+    """
 
-    def __init__(self, encode: Callable[[list[str]], list], limit: int = MEMO_PIECES):
-        self.encode, self.limit, self.known = encode, limit, {}
+    def __init__(self, encode: Callable[[list[str]], list], limit: int = MEMO_PIECES, name: str | None = None):
+        self.encode, self.limit = encode, limit
+        self.known = {} if name is None else worker_wide(f"memo of {name}", dict)
 
     def of(self, wanted: set[str]) -> dict:
         new = [p for p in wanted if p not in self.known]
@@ -96,18 +145,18 @@ def count_tokens(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, special, cut = open_tokenizer(path)
-        memo = Memo(lambda texts: [len(e) for e in encode(texts)])
-        for batch in batches:
+        tokenizer = worker_wide(f"tokenizer {path}", lambda: Tokenizer(path))
+        memo = Memo(lambda parts: [len(ids) // 4 for ids in tokenizer.pieces(parts)], name=f"lengths {path}")
+        for batch in slices(batches):
             sizes: list[int] = []
             counts: list[int] = []
             for group in by_bytes(batch.column("_text").to_pylist()):
-                whole = [not cut or any(s in t for s in special) for t in group]
+                whole = [not tokenizer.cut or any(s in t for s in tokenizer.special) for t in group]
                 parts = [[] if w else pieces(t) for t, w in zip(group, whole)]
                 known = memo.of(set().union(*parts))
                 for text, w, own in zip(group, whole, parts):
                     sizes.append(len(text.encode()))
-                    counts.append(len(encode([text])[0]) if w else sum(map(known.__getitem__, own)))
+                    counts.append(len(tokenizer.whole(text)) if w else sum(map(known.__getitem__, own)))
             n = pa.array(counts, pa.int64())
             over = pa.array([c > limit for c in counts], pa.bool_())
             yield pa.RecordBatch.from_arrays(

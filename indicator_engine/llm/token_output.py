@@ -24,15 +24,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from indicator_engine.llm.common import pack, parts_for, unpack
-from indicator_engine.llm.token_counts import Memo, by_bytes, open_tokenizer, pieces
+from indicator_engine.llm.common import pack, parts_for, slices, unpack
+from indicator_engine.llm.token_counts import Memo, Tokenizer, by_bytes, pieces, worker_wide
 from indicator_engine.session import shared_folder
 
 SCALE = 20
 LANES = 32
 SEGMENT = 1 << 15
 #: segments coded side by side
-BATCH = 64
+BATCH = 160
 _LOW = np.uint64(1 << 31)
 _WORD = np.uint64(32)
 _SCALE = np.uint64(SCALE)
@@ -67,7 +67,7 @@ class Coder:
     def encode(self, segments: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each segment its final states and its code words in reading order."""
         steps = -(-max(map(len, segments)) // LANES)
-        symbols = np.zeros((len(segments), steps * LANES), np.int64)
+        symbols = np.zeros((len(segments), steps * LANES), np.int32)
         for row, ids in zip(symbols, segments):
             row[: len(ids)] = ids
         lengths = np.array([len(s) for s in segments])[:, None]
@@ -121,17 +121,17 @@ def token_ids(docs: DataFrame, path: str, end_id: int, id_column: str, text_colu
     """``_id``, number of ids, ids as unsigned 32-bit integers (compressed); null text is empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, special, cut = open_tokenizer(path)
-        memo = Memo(lambda texts: [np.array(e.ids, "<u4").tobytes() for e in encode(texts)])
+        tokenizer = worker_wide(f"tokenizer {path}", lambda: Tokenizer(path))
+        memo = Memo(tokenizer.pieces, name=f"ids {path}")
         end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        for batch in slices(batches):
             sizes, data = [], []
             for group in by_bytes(batch.column("_text").to_pylist()):
-                whole = [not cut or any(s in t for s in special) for t in group]
+                whole = [not tokenizer.cut or any(s in t for s in tokenizer.special) for t in group]
                 parts = [[] if w else pieces(t) for t, w in zip(group, whole)]
                 known = memo.of(set().union(*parts))
                 for text, w, own in zip(group, whole, parts):
-                    ids = memo.encode([text])[0] if w else b"".join(map(known.__getitem__, own))
+                    ids = np.array(tokenizer.whole(text), "<u4").tobytes() if w else b"".join(map(known.__getitem__, own))
                     sizes.append(len(ids) // 4 + 1)
                     data.append(_packed(ids + end))
             yield pa.RecordBatch.from_arrays(
@@ -154,14 +154,13 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 def _symbol_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(0, np.int64)
-    for batch in batches:
-        for data in batch.column("_ids").to_pylist():
-            own = np.bincount(_unpacked(data))
-            if len(own) > len(counts):
-                own[: len(counts)] += counts
-                counts = own
-            else:
-                counts[: len(own)] += own
+    for batch in slices(batches):
+        own = np.bincount(np.concatenate([_unpacked(data) for data in batch.column("_ids").to_pylist()]))
+        if len(own) > len(counts):
+            own[: len(counts)] += counts
+            counts = own
+        else:
+            counts[: len(own)] += own
     found = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays(
         [pa.array(found, pa.int64()), pa.array(counts[found], pa.int64())], names=["symbol", "n"]
@@ -271,7 +270,7 @@ def write_token_files(
     spark.createDataFrame(
         [(int(s), int(freq[s])) for s in kept], "symbol long, freq long"
     ).coalesce(1).write.parquet(f"{folder}/symbols")
-    ordered = encoded.repartitionByRange(parts_for(docs, 16, 4), "_id").sortWithinPartitions("_id", "_n", "_ids")
+    ordered = encoded.repartitionByRange(parts_for(encoded, 16, 4), "_id").sortWithinPartitions("_id", "_n", "_ids")
     ordered.mapInArrow(_writer(freq), _BLOCK).write.parquet(f"{folder}/blocks")
 
 
