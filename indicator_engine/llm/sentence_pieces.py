@@ -31,7 +31,7 @@ from indicator_engine.llm.token_counts import Memo, by_bytes, worker_wide
 
 N_BEST = 4
 SIGN = "▁"
-MEMO_WORDS = 200_000
+MEMO_WORDS = 160_000
 UNKNOWN_PENALTY = 10.0
 #: characters of words solved side by side
 _SLAB = 1 << 16

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from indicator_engine.llm.common import slices
 
 BATCH_BYTES = 4 << 20
-MEMO_PIECES = 600_000
+MEMO_PIECES = 350_000
 
 # How byte-level tokenizers cut a text into words, and the signs for bytes that do not print.
 BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -89,7 +89,7 @@ class Tokenizer:
 
     def pieces(self, wanted: list[str]) -> list[bytes]:
         """Ids of each piece as unsigned 32-bit integers; words met before are not encoded again."""
-        if len(self.known) > MEMO_PIECES:
+        if len(self.known) > 2 * MEMO_PIECES:
             self.known.clear()
         known, out = self.known, []
         for piece in wanted:
@@ -113,24 +113,36 @@ def worker_wide(name: str, make: Callable):
 
 
 class Memo:
-    """Values of pieces, computed in batches by ``encode``; emptied when it is full.
+    """Values of pieces, computed in batches by ``encode``.
 
-    The values outlive the task: they depend on the piece and on what ``name`` says only.
+    Two generations of ``limit`` pieces are held: when the younger is full, the older
+    goes, so that common pieces stay.  The values outlive the task: they depend on the
+    piece and on what ``name`` says only.
     """
 
     def __init__(self, encode: Callable[[list[str]], list], limit: int = MEMO_PIECES, name: str | None = None):
         self.encode, self.limit = encode, limit
-        self.known = {} if name is None else worker_wide(f"memo of {name}", dict)
+        both = lambda: [{}, {}]
+        self.both = both() if name is None else worker_wide(f"memo of {name}", both)
 
     def of(self, wanted: set[str]) -> dict:
-        new = [p for p in wanted if p not in self.known]
-        if len(self.known) + len(new) > self.limit:
-            self.known.clear()
-            new = list(wanted)
+        missing = wanted.difference(self.both[0])
+        if len(self.both[0]) + len(missing) > self.limit:
+            self.both.reverse()
+            self.both[0].clear()
+            missing = wanted
+        known, older = self.both
+        new = []
+        for piece in missing:
+            value = older.get(piece)
+            if value is None:
+                new.append(piece)
+            else:
+                known[piece] = value
         for start in range(0, len(new), 50_000):
             part = new[start : start + 50_000]
-            self.known.update(zip(part, self.encode(part)))
-        return self.known
+            known.update(zip(part, self.encode(part)))
+        return known
 
 
 def count_tokens(
