@@ -1,19 +1,19 @@
 """Near-duplicate groups by HyperMinHash.
 
-A text's shingles are hashed to 64 bits.  Every one of the sketch's buckets keeps of
-its smallest hash the number of leading zeros and ``MANTISSA`` bits, 16 bits together;
-an empty bucket borrows from the next one.  Bands of ``ROWS`` registers are hashed; so
-many bands are taken that a pair at the threshold meets in none of them with a
-probability below ``MISS``.
+A text's shingles are hashed to 64 bits.  Every register of the sketch hashes all of
+them anew and keeps of its smallest hash the number of leading zeros and ``MANTISSA``
+bits, 16 bits together; so registers are independent and filled however small the set
+is.  Bands of ``ROWS`` registers are hashed; so many bands are taken that a pair at the
+threshold meets in none of them with a probability below ``MISS``.
 
 1. Equal shingle sets collapse to the row with the smallest id.
 2. In each band bucket every set is tied to the smallest id there; the connected parts
    of that graph are candidate classes, which contain every link.
 3. Only texts of such classes are moved, once.  A class is cut into blocks of ``BLOCK``
    sets; each pair of blocks meets in a group of its own, so a group is bounded whatever
-   the class.  A group compares sketches, corrected for chance collisions, and confirms
-   on the full sets where the estimate is within ``MARGIN`` standard deviations; pairs
-   already connected are skipped, so it returns fewer links than sets.
+   the class.  A group compares sketches and confirms on the full sets within ``MARGIN``
+   standard deviations of the threshold; pairs already connected are skipped, so it
+   returns fewer links than sets.
 4. Components of the confirmed links.
 """
 
@@ -37,6 +37,8 @@ BLOCK = 512
 MARGIN = 6.0
 #: texts hashed at once, in bytes
 _SLAB = 1 << 18
+#: shingles hashed for all registers at once
+_COLUMNS = 128
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -117,24 +119,24 @@ def _slab_sets(data, ends, words, up, down) -> Iterator[np.ndarray]:
 # ---- sketches ----------------------------------------------------------------
 
 
-def sketch(own: np.ndarray, size: int) -> np.ndarray:
-    """Registers of a non-empty ascending set: leading zeros and mantissa of each bucket's smallest hash."""
-    at = own.astype(np.float64) * (size / 2.0**64)
-    first = np.searchsorted(at, np.arange(size))
-    bucket = np.minimum(at[np.minimum(first, len(own) - 1)].astype(np.int64), size - 1)
-    filled = (first < len(own)) & (bucket == np.arange(size))
-    mantissa, exponent = np.frexp(np.maximum(at[np.minimum(first, len(own) - 1)] - np.arange(size), 2.0**-60))
-    register = (np.minimum(-exponent, 63) << MANTISSA) | ((mantissa * 2 - 1) * (1 << MANTISSA)).astype(np.int64)
-    if not filled.all():
-        have = np.flatnonzero(filled)
-        nxt = np.searchsorted(have, np.arange(size))
-        away = np.where(nxt < len(have), have[np.minimum(nxt, len(have) - 1)], have[0] + size) - np.arange(size)
-        register = register[have[nxt % len(have)]] + away * 40503
-    return (register & 0xFFFF).astype(np.uint16)
+def seeds(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """What each of ``size`` registers mixes into a shingle's hash."""
+    every = _mixed(np.arange(1, 2 * size + 1, dtype=np.uint64) * _BASE)
+    return every[:size, None], every[size:, None] | np.uint64(1)
+
+
+def sketch(own: np.ndarray, seed: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Registers of a non-empty set: leading zeros and mantissa of the smallest hash under each seed."""
+    flip, times = seed
+    low = np.full(len(flip), np.iinfo(np.uint64).max)
+    for at in range(0, len(own), _COLUMNS):
+        np.minimum(low, ((own[at : at + _COLUMNS] ^ flip) * times).min(axis=1), out=low)
+    mantissa, exponent = np.frexp(np.maximum(low.astype(np.float64), 1.0) / 2.0**64)
+    register = (np.clip(-exponent, 0, 63) << MANTISSA) | ((mantissa * 2 - 1) * (1 << MANTISSA)).astype(np.int64)
+    return register.astype(np.uint16)
 
 
 def band_keys(registers: np.ndarray, n_bands: int) -> np.ndarray:
-    # registers of a band lie far apart: neighbours may have borrowed from the same one
     rows = registers.reshape(-1, n_bands).T.astype(np.uint64)
     key = np.arange(1, n_bands + 1, dtype=np.uint64) * _MIX
     for i in range(rows.shape[1]):
@@ -143,24 +145,9 @@ def band_keys(registers: np.ndarray, n_bands: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def chance(n_a: np.ndarray, n_b: int, size: int) -> np.ndarray:
-    """Probability that registers of sets without a common element agree.
-
-    The smallest of n / size hashes falls into octave k with probability
-    ``(1 - 2**-(k+1)) ** n' - (1 - 2**-k) ** n'``; inside one the mantissa agrees once
-    in ``2 ** MANTISSA``.
-    """
-    k = np.arange(64)[:, None]
-
-    def octave(n):
-        rate = np.maximum(np.asarray(n, np.float64), 1.0) / size
-        return np.exp(-rate * 2.0 ** -(k + 1.0)) - np.exp(-rate * 2.0**-k)
-
-    return (octave(n_a) * octave(np.array([n_b]))).sum(axis=0) / (1 << MANTISSA)
-
-
 def _signatures(words: int, n_bands: int, threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seed = seeds(n_bands * ROWS)
         for batch in batches:
             size, one, two = [], [], []
             keys: list[bytes | None] = []
@@ -173,7 +160,7 @@ def _signatures(words: int, n_bands: int, threshold: int):
                 # one of the equal sets of a batch stands for them in the bands; a set with
                 # n elements is at most n / (n + 1) like another
                 new = len(own) * (100 - threshold) >= threshold and ids[row] is not None and least.setdefault((one[-1], two[-1]), row) == row
-                keys.append(band_keys(sketch(own, n_bands * ROWS), n_bands).tobytes() if new else None)
+                keys.append(band_keys(sketch(own, seed), n_bands).tobytes() if new else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("_id"),
@@ -234,7 +221,8 @@ def _group_links(ids: list[int], blocks: list[int], sets: list[np.ndarray], acro
     order = np.argsort(ids, kind="stable")
     ids, blocks, sets = [ids[i] for i in order], np.array(blocks)[order], [sets[i] for i in order]
     n = np.array([len(s) for s in sets])
-    regs = np.stack([sketch(s, size) for s in sets])
+    seed = seeds(size)
+    regs = np.stack([sketch(s, seed) for s in sets])
     root = list(range(len(ids)))
 
     def find(x: int) -> int:
@@ -244,7 +232,7 @@ def _group_links(ids: list[int], blocks: list[int], sets: list[np.ndarray], acro
         return x
 
     need = threshold / 100
-    floor = need - MARGIN * math.sqrt(need * (1 - need) / size)
+    floor = size * (need - MARGIN * math.sqrt(need * (1 - need) / size))
     for i in range(1, len(ids)):
         before = np.arange(i)
         if across:
@@ -253,11 +241,9 @@ def _group_links(ids: list[int], blocks: list[int], sets: list[np.ndarray], acro
         before = before[(100 * np.minimum(n[before], n[i])) >= threshold * np.maximum(n[before], n[i])]
         if not len(before):
             continue
-        agree = (regs[before] == regs[i]).mean(axis=1)
-        by_chance = chance(n[before], int(n[i]), size)
-        estimate = (agree - by_chance) / (1 - by_chance)
-        likely = before[estimate >= floor]
-        for j in likely[np.argsort(-estimate[estimate >= floor], kind="stable")].tolist():
+        agree = (regs[before] == regs[i]).sum(axis=1)
+        likely = agree >= floor
+        for j in before[likely][np.argsort(-agree[likely], kind="stable")].tolist():
             a, b = find(i), find(j)
             if a != b and _linked(sets[i], sets[j], threshold):
                 root[max(a, b)] = min(a, b)

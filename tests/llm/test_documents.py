@@ -289,6 +289,44 @@ def test_large_class_in_blocks(spark, monkeypatch):
     assert rows_of(near_groups(spark, frame, 3, 85), *NEAR) == brute_components(rows, 3, 85)
 
 
+def short_pairs(threshold, n_pairs, least=6, most=150):
+    """Pairs of sets at the threshold or just above it."""
+    rng = np.random.default_rng(5)
+    while n_pairs:
+        a, b = rng.integers(least, most + 1, 2).tolist()
+        # common elements at which a pair of these sizes is linked
+        common = -(-threshold * (a + b) // (100 + threshold))
+        if common <= min(a, b):
+            n_pairs -= 1
+            every = rng.integers(0, 2**64 - 1, a + b - common, dtype=np.uint64)
+            yield np.sort(every[:a]), np.sort(every[a - common :])
+
+
+@pytest.mark.parametrize("threshold", [85, 80])
+def test_short_sets_at_the_threshold_meet_in_a_band(threshold):
+    from indicator_engine.llm import near_dedup as nd
+
+    n_bands = nd.bands(threshold)
+    seed = nd.seeds(n_bands * nd.ROWS)
+    for a, b in short_pairs(threshold, 2000):
+        one, two = nd.sketch(a, seed), nd.sketch(b, seed)
+        assert (nd.band_keys(one, n_bands) == nd.band_keys(two, n_bands)).any()
+
+
+@pytest.mark.parametrize("threshold", [85, 80])
+def test_near_groups_of_short_texts(spark, threshold):
+    """Pairs of texts of 6 to 150 shingles at the threshold, against brute force."""
+    rows = []
+    for a, b in short_pairs(threshold, 600):
+        # one-word shingles, so that the sets are what the pair says
+        for own in (a, b):
+            rows.append((len(rows), " ".join(f"w{x}" for x in own.tolist())))
+    expected = brute_components(rows, 1, threshold)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert rows_of(near_groups(spark, frame, 1, threshold), *NEAR) == expected
+    assert sum(n for (_, _, _, kept), n in expected.items() if not kept) == 600
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7)]
     got = {r.node: r.component for r in components(spark, spark.createDataFrame(edges, "a long, b long")).collect()}
