@@ -4,15 +4,16 @@ A text's shingles are hashed to 64 bits.  Every register of the sketch hashes al
 them anew and keeps of its smallest hash the number of leading zeros and ``MANTISSA``
 bits, 16 bits together; so registers are independent and filled however small the set
 is.  Bands of ``ROWS`` registers are hashed; so many bands are taken that a pair at the
-threshold meets in none of them with a probability below ``MISS``.
+threshold meets in none of them, or falls short in the comparison of sketches, with a
+probability below ``MISS``.
 
 1. Equal shingle sets collapse to the row with the smallest id.
 2. In each band bucket every set is tied to the smallest id there; the connected parts
    of that graph are candidate classes, which contain every link.
 3. Only texts of such classes are moved, once.  A class is cut into blocks of ``BLOCK``
    sets; each pair of blocks meets in a group of its own, so a group is bounded whatever
-   the class.  A group compares sketches and confirms on the full sets within ``MARGIN``
-   standard deviations of the threshold; pairs already connected are skipped, so it
+   the class.  A group compares sketches and confirms on the full sets where as many
+   registers agree as ``least_agreeing`` says; pairs already connected are skipped, so it
    returns fewer links than sets.
 4. Components of the confirmed links.
 """
@@ -34,7 +35,8 @@ ROWS = 7
 MISS = 1e-8
 MANTISSA = 10
 BLOCK = 512
-MARGIN = 6.0
+#: part of ``MISS`` left to the comparison of sketches
+SKETCH_SHARE = 0.1
 #: texts hashed at once, in bytes
 _SLAB = 1 << 18
 #: shingles hashed for all registers at once
@@ -53,7 +55,23 @@ _VALUE = (np.arange(1, 257, dtype=np.uint64) * _MIX2) ^ (np.arange(1, 257, dtype
 
 def bands(threshold: int) -> int:
     """Number of bands for a threshold in per cent."""
-    return math.ceil(math.log(MISS) / math.log(1 - (threshold / 100) ** ROWS))
+    return math.ceil(math.log(MISS * (1 - SKETCH_SHARE)) / math.log(1 - (threshold / 100) ** ROWS))
+
+
+def least_agreeing(threshold: int, size: int) -> int:
+    """Registers of ``size`` that agree in a pair at the threshold but for the sketches' share of ``MISS``.
+
+    The exact binomial tail; registers that agree by chance only add to it.
+    """
+    need, tail = threshold / 100, 0.0
+    if need >= 1:
+        return size
+    for agree in range(size + 1):
+        ways = math.lgamma(size + 1) - math.lgamma(agree + 1) - math.lgamma(size - agree + 1)
+        tail += math.exp(ways + agree * math.log(need) + (size - agree) * math.log(1 - need))
+        if tail > MISS * SKETCH_SHARE:
+            return agree
+    return size
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -231,8 +249,7 @@ def _group_links(ids: list[int], blocks: list[int], sets: list[np.ndarray], acro
             x = root[x]
         return x
 
-    need = threshold / 100
-    floor = size * (need - MARGIN * math.sqrt(need * (1 - need) / size))
+    floor = least_agreeing(threshold, size)
     for i in range(1, len(ids)):
         before = np.arange(i)
         if across:

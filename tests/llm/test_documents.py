@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -313,6 +314,20 @@ def test_short_sets_at_the_threshold_meet_in_a_band(threshold):
         assert (nd.band_keys(one, n_bands) == nd.band_keys(two, n_bands)).any()
 
 
+@pytest.mark.parametrize("threshold", [85, 80])
+def test_sketches_keep_short_sets_at_the_threshold(threshold):
+    from indicator_engine.llm import near_dedup as nd
+
+    size = nd.bands(threshold) * nd.ROWS
+    seed, floor = nd.seeds(size), nd.least_agreeing(threshold, size)
+    for a, b in short_pairs(threshold, 2000):
+        assert (nd.sketch(a, seed) == nd.sketch(b, seed)).sum() >= floor
+    need, chances = threshold / 100, 1.0
+    for agree in range(floor):
+        chances -= math.comb(size, agree) * need**agree * (1 - need) ** (size - agree)
+    assert 1 - chances <= nd.MISS / 10 + 1e-12
+
+
 @pytest.mark.parametrize("threshold", [85, 80])
 def test_near_groups_of_short_texts(spark, threshold):
     """Pairs of texts of 6 to 150 shingles at the threshold, against brute force."""
