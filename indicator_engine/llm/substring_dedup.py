@@ -16,10 +16,17 @@ windows, wherever they are, lie in phrases with equal triggers.
    the suffix array of the dictionary, sorted to depth ``length`` by prefix doubling,
    puts equal windows next to each other.  The parse carries the smallest ids back to
    the places.
-4. Chunks take the spans found and cut them out.
-
-A passage that a third of all documents share is one phrase per chunk, whatever its
-number of places; a bucket sees packed rows, at most one per chunk.
+   Phrases of a trigger with more than ``HOT_BYTES`` bytes in all chunks are not sent:
+   each chunk deals their distinct windows, as 128-bit hashes with the smallest id, to
+   buckets by that hash.  There the smallest ids of equal windows meet.
+4. Chunks take the spans found and cut them out; windows of hot triggers are looked up
+   among those that came back.
+
+The inner phrases of a passage that many documents share are one phrase per chunk,
+whatever their number of places.  Those over its edges, and over a repeated line shorter
+than a window, reach into each document's own text: as many phrases of one trigger as
+there are places.  Such a trigger is hot, and its windows are spread over all buckets.
+A bucket sees packed rows, at most one per chunk.
 """
 
 from __future__ import annotations
@@ -43,6 +50,8 @@ CHUNK_BYTES = 8 << 20
 _SLAB = 1 << 16
 #: bytes of phrases sorted at once
 _SORTED = 1 << 19
+#: a trigger whose phrases have more bytes, over all places, is dealt by windows
+HOT_BYTES = 1 << 21
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -204,14 +213,15 @@ def _trigger_pieces(buckets: int, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             chunk = _Chunk(row)
-            trigger, first, _ = chunk.phrases(length)
+            trigger, first, count = chunk.phrases(length)
             ids = chunk.ids[chunk.documents(first)]
             order = np.argsort(trigger, kind="stable")
-            trigger, ids = trigger[order], ids[order]
+            trigger, ids, size = trigger[order], ids[order], count[order] + length - 1
             starts = np.flatnonzero(np.concatenate([[True], trigger[1:] != trigger[:-1]])) if len(trigger) else order
             several = np.zeros(0, bool)
             if len(starts):
                 several = np.minimum.reduceat(ids, starts) != np.maximum.reduceat(ids, starts)
+                size = np.add.reduceat(size, starts)
             own = trigger[starts]
             bucket = _bucket_of(own, buckets)
             by = np.argsort(bucket, kind="stable")
@@ -220,7 +230,7 @@ def _trigger_pieces(buckets: int, length: int):
             for b in range(buckets):
                 at = by[edges[b] : edges[b + 1]]
                 if len(at):
-                    out.append((b, chunk.number, _join([pack_sorted(own[at]), pack(np.packbits(several[at]))])))
+                    out.append((b, chunk.number, _join([pack_sorted(own[at]), pack(np.packbits(several[at])), pack(size[at].astype(np.int32))])))
             yield _pieces(out)
 
     return run
@@ -228,10 +238,11 @@ def _trigger_pieces(buckets: int, length: int):
 
 def _shared_triggers(key: tuple, table: pa.Table) -> pa.Table:
     chunks = table.column("_chunk").to_pylist()
-    own, several = [], []
+    own, several, size = [], [], []
     for payload in table.column("_payload").to_pylist():
-        sorted_, bits = _split(payload)
+        sorted_, bits, bytes_ = _split(payload)
         own.append(unpack_sorted(sorted_))
+        size.append(unpack(bytes_, np.int32))
         several.append(np.unpackbits(unpack(bits, np.uint8), count=len(own[-1])).astype(bool))
     every = np.concatenate(own)
     order = np.argsort(every, kind="stable")
@@ -242,30 +253,143 @@ def _shared_triggers(key: tuple, table: pa.Table) -> pa.Table:
         starts = np.flatnonzero(np.concatenate([[True], ~same]))
         sizes = np.diff(np.append(starts, len(ranked)))
         shared = np.repeat((sizes > 1) | np.logical_or.reduceat(twice, starts), sizes)
-        back = np.empty(len(every), bool)
+        back, hot = np.empty(len(every), bool), np.empty(len(every), bool)
         back[order] = shared
+        total = np.add.reduceat(np.concatenate(size)[order].astype(np.int64), starts)
+        hot[order] = np.repeat(total > HOT_BYTES, sizes)
     else:
-        back = np.zeros(0, bool)
+        back = hot = np.zeros(0, bool)
     out, at = [], 0
     for chunk, trigger in zip(chunks, own):
-        kept = trigger[back[at : at + len(trigger)]]
+        keep = back[at : at + len(trigger)]
+        kept, dealt = trigger[keep], hot[at : at + len(trigger)][keep]
         at += len(trigger)
         if len(kept):
-            out.append((key[0].as_py(), chunk, pack_sorted(kept)))
+            out.append((key[0].as_py(), chunk, _join([pack_sorted(kept[~dealt]), pack_sorted(kept[dealt])])))
     return pa.Table.from_batches([_pieces(out)])
 
 
 # ---- 3: dictionary and parse -------------------------------------------------
 
 
+def _among(values: np.ndarray, ascending: np.ndarray) -> np.ndarray:
+    if not len(ascending):
+        return np.zeros(len(values), bool)
+    return ascending[np.minimum(np.searchsorted(ascending, values), len(ascending) - 1)] == values
+
+
+def _window_hashes(data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent hashes of the ``length`` bytes from each place."""
+    one, two = np.full(len(at), _BASE), np.full(len(at), _MIX)
+    for step in [*range(0, length - 8, 8), length - 8]:
+        word = np.zeros(len(at), np.uint64)
+        for i in range(8):
+            word = (word << np.uint64(8)) | data[at + (step + i)]
+        one = (one ^ word) * _MIX
+        one ^= one >> np.uint64(29)
+        two = (two ^ word) * _BASE
+        two ^= two >> np.uint64(31)
+    return one * _BASE ^ one >> np.uint64(32), two
+
+
+def _hot_windows(chunk: _Chunk, trigger, first, count, hot: np.ndarray, length: int):
+    """Place, id, trigger and both hashes of the windows of hot triggers, a slab at a time."""
+    rows = np.flatnonzero(_among(trigger, hot))
+    ends = np.cumsum(count[rows])
+    for low in range(0, int(ends[-1]) if len(rows) else 0, _SLAB):
+        window = np.arange(low, min(low + _SLAB, int(ends[-1])))
+        row = np.searchsorted(ends, window, "right")
+        at = first[rows[row]] + window - (ends[row] - count[rows[row]])
+        yield at, chunk.ids[chunk.documents(at)], trigger[rows[row]], *_window_hashes(chunk.data, at, length)
+
+
+def _equal_runs(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order by both hashes, and where in it a new window begins."""
+    order = np.lexsort((two, one))
+    a, b = one[order], two[order]
+    return order, np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+
+
+def _distinct_windows(ids: list, marks: list, ones: list, twos: list):
+    """Smallest id, greatest id, trigger and hashes of the distinct windows, in order of their hashes."""
+    low, high, mark, one, two = (np.concatenate(x) for x in (*ids, marks, ones, twos))
+    order, heads = _equal_runs(one, two)
+    at = order[heads]
+    return np.minimum.reduceat(low[order], heads), np.maximum.reduceat(high[order], heads), mark[at], one[at], two[at]
+
+
+def _hot_pieces(chunk: _Chunk, trigger, first, count, hot: np.ndarray, buckets: int, length: int) -> list[tuple[int, int, bytes]]:
+    """The chunk's distinct windows of hot triggers, dealt by hash to buckets of their own."""
+    slabs = [
+        _distinct_windows(([ids], [ids]), [mark], [one], [two])
+        for _, ids, mark, one, two in _hot_windows(chunk, trigger, first, count, hot, length)
+    ]
+    if not slabs:
+        return []
+    lows, highs, marks, ones, twos = zip(*slabs)
+    low, high, mark, one, two = _distinct_windows((lows, highs), marks, ones, twos)
+    bucket = _bucket_of(one, buckets)
+    by = np.argsort(bucket, kind="stable")
+    edges = np.searchsorted(bucket[by], np.arange(buckets + 1))
+    out = []
+    for b in range(buckets):
+        at = by[edges[b] : edges[b + 1]]
+        if len(at):
+            out.append((buckets + b, chunk.number, _join([pack_sorted(one[at]), *(pack(x[at]) for x in (two, mark, low, high))])))
+    return out
+
+
+def _hot_lows(key: tuple, table: pa.Table) -> pa.Table:
+    """For each chunk those of its hot windows that some chunk has in a document of smaller id."""
+    chunks = table.column("_chunk").to_pylist()
+    parts = []
+    for payload in table.column("_payload").to_pylist():
+        one, two, mark, low, high = _split(payload)
+        parts.append((unpack_sorted(one), unpack(two, np.uint64), unpack(mark, np.uint64), unpack(low, np.int64), unpack(high, np.int64)))
+    one, two, low = (np.concatenate([p[i] for p in parts]) for i in (0, 1, 3))
+    order, heads = _equal_runs(one, two)
+    lowest = np.empty(len(order), np.int64)
+    lowest[order] = np.repeat(np.minimum.reduceat(low[order], heads), np.diff(np.append(heads, len(order))))
+    out, at = [], 0
+    for chunk, (one, two, mark, low, high) in zip(chunks, parts):
+        least = lowest[at : at + len(one)]
+        at += len(one)
+        gone = least < high
+        if gone.any():
+            payload = [pack(np.unique(mark[gone])), pack_sorted(one[gone]), pack(two[gone]), pack(least[gone])]
+            out.append((key[0].as_py(), chunk, _join(payload)))
+    return pa.Table.from_batches([_pieces(out)])
+
+
+def _hot_gone(chunk: _Chunk, answers: list[list[bytes]], length: int) -> Iterator[np.ndarray]:
+    """Places of the chunk's windows that the answers of the hot buckets remove."""
+    hot = np.unique(np.concatenate([unpack(a[0], np.uint64) for a in answers]))
+    one = np.concatenate([unpack_sorted(a[1]) for a in answers])
+    two, low = (np.concatenate([unpack(a[i], t) for a in answers]) for i, t in ((2, np.uint64), (3, np.int64)))
+    order = np.lexsort((two, one))
+    one, two, low = one[order], two[order], low[order]
+    for at, ids, _, a, b in _hot_windows(chunk, *chunk.phrases(length), hot, length):
+        place = np.searchsorted(one, a)
+        # first hashes that are equal for different windows stand next to each other
+        while True:
+            there = np.minimum(place, len(one) - 1)
+            on = (place < len(one)) & (one[there] == a) & (two[there] != b)
+            if not on.any():
+                break
+            place += on
+        found = (place < len(one)) & (one[there] == a)
+        yield at[found & (low[there] < ids)]
+
+
 def _dictionary_pieces(buckets: int, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             chunk = _Chunk(row)
             trigger, first, count = chunk.phrases(length)
-            shared = np.sort(np.concatenate([unpack_sorted(p) for p in row["_payloads"]]))
-            at = np.minimum(np.searchsorted(shared, trigger), len(shared) - 1)
-            keep = shared[at] == trigger
+            answers = [_split(p) for p in row["_payloads"]]
+            shared, hot = (np.sort(np.concatenate([unpack_sorted(p) for p in part])) for part in zip(*answers))
+            yield _pieces(_hot_pieces(chunk, trigger, first, count, hot, buckets, length))
+            keep = _among(trigger, shared)
             trigger, first, count = trigger[keep], first[keep], count[keep]
             ids = chunk.ids[chunk.documents(first)]
             bucket = _bucket_of(trigger, buckets)
@@ -357,8 +481,10 @@ def _lowest(texts: list[bytes], sizes: np.ndarray, least: np.ndarray, length: in
     return np.split(out, np.cumsum(windows)[:-1])
 
 
-def _spans(length: int):
+def _spans(buckets: int, length: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
+        if key[0].as_py() >= buckets:
+            return _hot_lows(key, table)
         chunks = table.column("_chunk").to_pylist()
         found: dict[bytes, int] = {}
         least: list[int] = []
@@ -425,13 +551,20 @@ def _spans(length: int):
 # ---- 4: cutting --------------------------------------------------------------
 
 
-def _cut(with_bytes: bool):
+def _cut(with_bytes: bool, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             chunk = _Chunk(row)
             edge = np.zeros(len(chunk.data) + 1, np.int32)
-            for payload in row["_payloads"] or []:
-                starts, sizes = (unpack(p, np.int32).astype(np.int64) for p in _split(payload))
+            answers = [_split(p) for p in row["_payloads"] or []]
+            hot = [a for a in answers if len(a) > 2]
+            for places in _hot_gone(chunk, hot, length) if hot else ():
+                np.add.at(edge, places, 1)
+                np.add.at(edge, places + length, -1)
+            for answer in answers:
+                if len(answer) > 2:
+                    continue
+                starts, sizes = (unpack(p, np.int32).astype(np.int64) for p in answer)
                 starts = np.cumsum(starts)
                 np.add.at(edge, starts, 1)
                 np.add.at(edge, starts + sizes, -1)
@@ -495,6 +628,6 @@ def remove_repeats(
     own = chunks.mapInArrow(_trigger_pieces(buckets, length), _PIECE)
     shared = own.groupBy("_bucket").applyInArrow(_shared_triggers, _PIECE)
     phrases = by_chunk(shared, "inner").mapInArrow(_dictionary_pieces(buckets, length), _PIECE)
-    spans = phrases.groupBy("_bucket").applyInArrow(_spans(length), _PIECE)
+    spans = phrases.groupBy("_bucket").applyInArrow(_spans(buckets, length), _PIECE)
     schema = "_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_bytes binary" * with_bytes
-    return by_chunk(spans, "left").mapInArrow(_cut(with_bytes), schema).withColumnRenamed("_id", id_column)
+    return by_chunk(spans, "left").mapInArrow(_cut(with_bytes, length), schema).withColumnRenamed("_id", id_column)

@@ -404,6 +404,36 @@ def test_repeats_in_periodic_and_overlapping_texts(spark, monkeypatch):
     assert rows_of(remove_repeats(spark, frame), *REMOVED) == brute_removal(rows)
 
 
+def test_frequent_line_is_not_sorted_in_one_task(spark, monkeypatch):
+    """A line shorter than a window in every document: each place is a phrase of its own under one trigger."""
+    import random
+
+    from indicator_engine.llm import substring_dedup
+
+    monkeypatch.setattr(substring_dedup, "HOT_BYTES", 20_000, raising=False)
+    monkeypatch.setattr(substring_dedup, "CHUNK_BYTES", 30_000)
+    lowest = substring_dedup._lowest
+
+    def bounded(texts, sizes, least, length):
+        if sizes.sum() > 40_000:
+            raise ValueError("one trigger's phrases at once")
+        return lowest(texts, sizes, least, length)
+
+    monkeypatch.setattr(substring_dedup, "_SORTED", 20_000)
+    monkeypatch.setattr(substring_dedup, "_lowest", bounded)
+    rng = random.Random(3)
+    line = "subscribe to our letter, it is free today"
+    passage = "".join(rng.choice("abcdefghij ") for _ in range(200))
+    own = lambda n: "".join(rng.choice("klmnopqrst ") for _ in range(n))
+    rows = []
+    for i in range(2000):
+        edge = own(12) if i % 3 else "the same edge"
+        rows.append((i, own(60) + edge + (line if i % 2 else passage) + edge + own(60) + "xy" * (i % 40)))
+    rows += [(i, t) for i, t in rows[:20]] + [(None, rows[5][1]), (3000, rows[7][1])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert rows_of(remove_repeats(spark, frame), *REMOVED) == brute_removal(rows)
+
+
 # ---- pieces ------------------------------------------------------------------
 
 
