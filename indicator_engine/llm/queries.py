@@ -44,16 +44,17 @@ def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Best and second best segmentation of every text, and whether decoding gives the text back."""
+    """The library's encoding of every text, whether decoding gives the text back, and the n best segmentations."""
     path = public_tokenizers.path("piece_bpe_32k.model")
-    pieces = decode(segment(table(spark, sf_dir, "documents").select("doc_id", "text"), path), path)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = decode(segment(docs, path, encoded=True), path, "encoded_ids")
     return pieces.select(
         "doc_id",
-        F.size("piece_ids").cast("long").alias("n_pieces"),
+        F.size("encoded_ids").cast("long").alias("n_pieces"),
         F.get("piece_scores", F.lit(0)).alias("score"),
         F.get("piece_scores", F.lit(1)).alias("second_score"),
         F.size("piece_scores").alias("n_segmentations"),
-        F.xxhash64("piece_ids").alias("ids_hash"),
+        F.xxhash64("encoded_ids").alias("ids_hash"),
         (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("round_trip"),
     )
 

@@ -14,6 +14,10 @@ distinct word is solved once per worker (bounded memo), many words side by side:
 
 Scores add up the model's piece scores.  A character without a piece is its UTF-8
 bytes, at 10 below the smallest score.
+
+In a BPE model a score is a merge rank; the library merges in that order and maximises
+no sum, so its ids are others than those of the best path.  ``encoded`` asks for the
+library's own encoding, also word by word: no merge crosses the start of a word.
 """
 
 from __future__ import annotations
@@ -45,6 +49,7 @@ class Pieces:
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.library = model
         self.size = model.vocab_size()
         self.text = [model.id_to_piece(i) for i in range(self.size)]
         self.score = np.array([model.get_score(i) for i in range(self.size)])
@@ -218,6 +223,14 @@ class Pieces:
             out[row] = (np.array(whole, "<i4").tobytes(), *out[row][1:])
         return out
 
+    def encode(self, words: list[str]) -> list[bytes]:
+        """Ids of each word in the library's own encoding."""
+        # the library puts the first sign in front itself, but not before an empty text
+        got = self.library.encode([w[1:].replace(SIGN, " ") for w in words])
+        sign = self.library.piece_to_id(SIGN)
+        lone = [sign] if sign != self.unknown_id else self.unknown_ids(ord(SIGN))
+        return [np.array(lone if w == SIGN else ids, "<i4").tobytes() for w, ids in zip(words, got)]
+
     # ---- one word
 
     def n_best(self, word: str, n: int) -> list[tuple[float, list[int]]]:
@@ -292,16 +305,20 @@ def segment(
     n_best: int = N_BEST,
     text_column: str = "text",
     alternatives: bool = False,
+    encoded: bool = False,
 ) -> DataFrame:
     """The rows of ``docs`` with ``piece_ids`` (best segmentation) and ``piece_scores`` (of the n best, best first).
 
-    With ``alternatives`` also ``piece_alternatives``, the ids of all n.  Null and empty
+    With ``alternatives`` also ``piece_alternatives``, the ids of all n; with ``encoded``
+    also ``encoded_ids``, what the model's library encodes the text to.  Null and empty
     texts have no pieces and one segmentation, of score 0.  Null ids, repeated rows and
     empty tables pass through; columns of the new names are replaced.
     """
     new = {"piece_ids": T.ArrayType(T.IntegerType()), "piece_scores": T.ArrayType(T.DoubleType())}
     if alternatives:
         new["piece_alternatives"] = T.ArrayType(T.ArrayType(T.IntegerType()))
+    if encoded:
+        new["encoded_ids"] = T.ArrayType(T.IntegerType())
     keep = [c for c in docs.columns if c not in new]
     at = keep.index(text_column)
     schema = docs.select(*keep).schema
@@ -312,13 +329,19 @@ def segment(
         model = worker_wide(f"pieces {path}", lambda: Pieces(path))
         memo = Memo(model.solve, MEMO_WORDS, f"best {path}")
         several = Memo(lambda words: [model.n_best(w, n_best) for w in words], MEMO_WORDS // 20, f"{n_best} best {path}")
+        merged = Memo(model.encode, MEMO_WORDS, f"encoded {path}")
         for batch in slices(batches):
             ids: list[bytes] = []
+            library: list[bytes] = []
             scores: list[list[float]] = []
             others: list[list[list[int]]] = []
             for group in by_bytes(batch.column(at).cast(pa.string()).to_pylist()):
                 parts = [words_of(t) for t in group]
-                known = memo.of(set().union(*parts))
+                every = set().union(*parts)
+                if encoded:
+                    cut = merged.of(every)
+                    library += [b"".join(map(cut.__getitem__, own)) for own in parts]
+                known = memo.of(every)
                 for own in parts:
                     data, each, gaps = zip(*map(known.__getitem__, own)) if own else ((), (), ())
                     ids.append(b"".join(data))
@@ -329,16 +352,21 @@ def segment(
                     scores.append([fixed + s for s, _ in sums])
                     if alternatives:
                         others.append([_replaced(data, loose, [picked[own[i]][c][1] for i, c in zip(loose, chosen)]) for _, chosen in sums])
-            flat = np.frombuffer(b"".join(ids), "<i4")
-            ends = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids])]).astype(np.int32)
-            columns = [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(scores, pa.list_(pa.float64()))]
+            columns = [_id_lists(ids), pa.array(scores, pa.list_(pa.float64()))]
             if alternatives:
                 columns.append(pa.array(others, pa.list_(pa.list_(pa.int32()))))
+            if encoded:
+                columns.append(_id_lists(library))
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*keep, *new])
 
     return docs.select(*keep).mapInArrow(run, schema)
 
 
+def _id_lists(ids: list[bytes]) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum([len(i) // 4 for i in ids])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+
+
 def _smallest(gaps: np.ndarray, n: int) -> list[int]:
     """Places of the n smallest finite gaps, of equal ones the first, in order of place."""
     if not len(gaps) or n < 1:

@@ -490,3 +490,15 @@ def test_pieces_decode_to_the_text(spark, awkward, nothing, medium):
     assert segment(nothing, PIECES).count() == 0
     rows = QUERIES["op5_sentence_pieces"](spark, medium).collect()
     assert len(rows) == 1000 and all(r.round_trip and r.second_score <= r.score for r in rows)
+
+
+def test_encoding_is_the_library_s(spark, awkward, awkward_rows, medium, whole):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    texts = [t for _, t, *_ in awkward_rows] + ["  a", "a  ", " ", "   ", "a \u2581 b", "x\u2581y ", "\u2581", "\u4e00 \U0001f600\n"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "n long, text string")
+    got = {r.n: r.encoded_ids for r in segment(frame, PIECES, encoded=True).collect()}
+    assert got == {n: model.encode(t or "") for n, t in enumerate(texts)}
+    expected = {i: len(model.encode(t or "")) for i, t, _ in whole}
+    assert {r.doc_id: r.n_pieces for r in QUERIES["op5_sentence_pieces"](spark, medium).collect()} == expected
