@@ -44,10 +44,13 @@ def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The library's encoding of every text, whether decoding gives the text back, and the n best segmentations."""
+    """The library's encoding of every text, whether decoding gives the text back, and the n best segmentations.
+
+    ``n_best_scores`` and ``n_best_hashes`` have one entry for each of those, best first.
+    """
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    pieces = decode(segment(docs, path, encoded=True), path, "encoded_ids")
+    pieces = decode(segment(docs, path, alternatives=True, encoded=True), path, "encoded_ids")
     return pieces.select(
         "doc_id",
         F.size("encoded_ids").cast("long").alias("n_pieces"),
@@ -55,6 +58,8 @@ def op5_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get("piece_scores", F.lit(1)).alias("second_score"),
         F.size("piece_scores").alias("n_segmentations"),
         F.xxhash64("encoded_ids").alias("ids_hash"),
+        F.col("piece_scores").alias("n_best_scores"),
+        F.transform("piece_alternatives", lambda ids: F.xxhash64(ids)).alias("n_best_hashes"),
         (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("round_trip"),
     )
 

@@ -329,12 +329,13 @@ def segment(
         model = worker_wide(f"pieces {path}", lambda: Pieces(path))
         memo = Memo(model.solve, MEMO_WORDS, f"best {path}")
         several = Memo(lambda words: [model.n_best(w, n_best) for w in words], MEMO_WORDS // 20, f"{n_best} best {path}")
-        merged = Memo(model.encode, MEMO_WORDS, f"encoded {path}")
-        for batch in slices(batches):
+        merged = Memo(model.encode, MEMO_WORDS // 8, f"encoded {path}")
+        for batch in slices(batches, 250 if alternatives else 1000):
             ids: list[bytes] = []
             library: list[bytes] = []
             scores: list[list[float]] = []
-            others: list[list[list[int]]] = []
+            others: list[bytes] = []
+            counts: list[int] = []
             for group in by_bytes(batch.column(at).cast(pa.string()).to_pylist()):
                 parts = [words_of(t) for t in group]
                 every = set().union(*parts)
@@ -351,10 +352,12 @@ def segment(
                     fixed = sum(each) - sum(each[i] for i in loose)
                     scores.append([fixed + s for s, _ in sums])
                     if alternatives:
-                        others.append([_replaced(data, loose, [picked[own[i]][c][1] for i, c in zip(loose, chosen)]) for _, chosen in sums])
+                        others += [_replaced(data, loose, [picked[own[i]][c][1] for i, c in zip(loose, chosen)]) for _, chosen in sums]
+                        counts.append(len(sums))
             columns = [_id_lists(ids), pa.array(scores, pa.list_(pa.float64()))]
             if alternatives:
-                columns.append(pa.array(others, pa.list_(pa.list_(pa.int32()))))
+                ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), _id_lists(others)))
             if encoded:
                 columns.append(_id_lists(library))
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*keep, *new])
@@ -380,12 +383,11 @@ def _smallest(gaps: np.ndarray, n: int) -> list[int]:
     return at[gaps[at] < np.inf].tolist()
 
 
-def _replaced(data: tuple[bytes, ...], at: list[int], ids: list[list[int]]) -> list[int]:
-    other = dict(zip(at, ids))
-    out: list[int] = []
-    for i, own in enumerate(data):
-        out += other[i] if i in other else np.frombuffer(own, "<i4").tolist()
-    return out
+def _replaced(data: tuple[bytes, ...], at: list[int], ids: list[list[int]]) -> bytes:
+    out = list(data)
+    for i, other in zip(at, ids):
+        out[i] = np.array(other, "<i4").tobytes()
+    return b"".join(out)
 
 
 def decode(pieces: DataFrame, path: str, ids_column: str = "piece_ids") -> DataFrame:

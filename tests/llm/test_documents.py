@@ -502,3 +502,11 @@ def test_encoding_is_the_library_s(spark, awkward, awkward_rows, medium, whole):
     assert got == {n: model.encode(t or "") for n, t in enumerate(texts)}
     expected = {i: len(model.encode(t or "")) for i, t, _ in whole}
     assert {r.doc_id: r.n_pieces for r in QUERIES["op5_sentence_pieces"](spark, medium).collect()} == expected
+
+
+def test_all_segmentations_are_returned(spark, small):
+    rows = QUERIES["op5_sentence_pieces"](spark, small).collect()
+    for r in rows:
+        assert len(r.n_best_scores) == len({*r.n_best_hashes}) == r.n_segmentations
+        assert r.n_best_scores[0] == r.score and r.n_best_scores == sorted(r.n_best_scores, reverse=True)
+    assert max(r.n_segmentations for r in rows) == 4
