@@ -49,3 +49,28 @@ def test_empty_table(spark, nothing):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, "")
         assert docs.count() == 0
+
+
+def test_other_text_of_a_dropped_row_s_id_stays(spark):
+    words = [f"w{i}" for i in range(100)]
+    near = [*words[:50], "x", *words[51:]]
+    rows = [
+        (3, " ".join(words)),
+        (26, " ".join(near)),
+        (26, " ".join(f"v{i}" for i in range(100))),
+        (26, None),
+        (30, " ".join(f"v{i}" for i in range(99))),
+        (None, " ".join(words)),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = Counter((r.doc_id, r.text) for r in corpus_pipeline.near(spark, docs, "").collect())
+    assert left == Counter([rows[0], rows[2], rows[3], rows[5]])
+
+
+def test_near_stage_with_repeated_ids(spark, awkward, awkward_rows):
+    before = [(i, t) for i, t, *_ in awkward_rows]
+    ids = Counter(r.doc_id for r in corpus_pipeline.near(spark, awkward, "").select("doc_id").collect())
+    expected = Counter()
+    for (i, _, _, kept), n in brute_components(before, 5, 80).items():
+        expected[i] += n * kept
+    assert ids == +expected
