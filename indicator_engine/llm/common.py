@@ -89,3 +89,33 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     ends = np.frombuffer(offsets, dtype="<i8")[column.offset : column.offset + len(column) + 1]
     buffer = np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     return buffer[ends[0] : ends[-1]] if len(ends) else buffer, ends - ends[0] if len(ends) else ends
+
+
+def whole_vector(column: str) -> Column:
+    """The vector is there, without null and non-finite components."""
+    v = F.col(column)
+    return v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+
+
+def list_matrix(column: pa.Array, width: int, dtype=np.float64) -> np.ndarray:
+    """An Arrow column of number lists as a matrix; shorter lists end with zeros."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    sizes = column.value_lengths().to_numpy(zero_copy_only=False)
+    out = np.zeros((len(sizes), width), dtype)
+    out[np.arange(width) < sizes[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
+    return out
+
+
+def gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """The batches put together to tables of about ``rows`` rows."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks()

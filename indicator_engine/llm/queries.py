@@ -16,6 +16,7 @@ from indicator_engine.llm.substring_dedup import remove_repeats
 from indicator_engine.llm.token_counts import count_tokens
 from indicator_engine.llm.token_output import token_files
 from indicator_engine.llm.top_k import top_k
+from indicator_engine.llm.vector_codes import compress
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,6 +86,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress(spark, table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_language_id": op2_language_id,
@@ -96,8 +101,30 @@ QUERIES = {
     "op8_token_output": op8_token_output,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_vector_codes": op12_vector_codes,
 }
 
+def _assigned(step: int) -> str:
+    """Nearest entry of every part to the entries of a step (ties: the first)."""
+    return f"""near{step} AS (
+  SELECT p.row, p.part, min(d * 64 + b.entry) AS best FROM parts p JOIN (
+    SELECT part, entry, v FROM book{step}) b USING (part),
+    LATERAL (SELECT list_sum([(p.v[i] - b.v[i]) * (p.v[i] - b.v[i]) FOR i IN range(1, len(p.v) + 1)]) AS d) s
+  GROUP BY p.row, p.part)"""
+
+
+def _moved(step: int) -> str:
+    """The entries after the assignment of the step before: floor of the mean, unused ones as they were."""
+    before = step - 1
+    return f"""means{step} AS (
+  SELECT part, entry, list(CAST(floor(CAST(total AS DOUBLE) / n) AS BIGINT) ORDER BY i) AS v FROM (
+    SELECT p.part, best % 64 AS entry, i, sum(p.v[i]) AS total, count(*) AS n
+    FROM near{before} JOIN parts p USING (row, part), range(1, len(p.v) + 1) t(i) GROUP BY ALL)
+  GROUP BY ALL),
+book{step} AS (
+  SELECT b.part, b.entry, coalesce(m.v, b.v) AS v FROM book{before} b LEFT JOIN means{step} m USING (part, entry))"""
+
+
 ORACLE = {
     "op3_mixing": r"""
 WITH rows AS (
@@ -166,5 +193,25 @@ WITH rows AS (
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = min(doc_id) OVER g AS kept, text_sha256
 FROM rows WINDOW g AS (PARTITION BY text_sha256)
+""",
+    "op12_vector_codes": f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS row, vec_id, label,
+         [CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+parts AS (
+  SELECT row, part, v[part * (len(v) // 16) + 1 : (part + 1) * (len(v) // 16)] AS v
+  FROM kept, range(16) t(part)),
+book0 AS (SELECT part, row - 1 AS entry, v FROM parts WHERE row <= 64),
+{_assigned(0)}, {_moved(1)}, {_assigned(1)}, {_moved(2)}, {_assigned(2)},
+coded AS (
+  SELECT row, string_agg(printf('%02x', best % 64), '' ORDER BY part) AS code,
+         CAST(sum(best // 64) AS BIGINT) AS error
+  FROM near2 GROUP BY row)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) FROM book2) AS codebooks_sha256
+FROM coded JOIN kept USING (row)
 """,
 }
