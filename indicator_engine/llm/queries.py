@@ -11,6 +11,7 @@ from indicator_engine.llm.html_extract import extract_text
 from indicator_engine.llm.language_id import identify, learn
 from indicator_engine.llm.mixing import mix
 from indicator_engine.llm.near_dedup import near_groups
+from indicator_engine.llm.neighbours import nearest
 from indicator_engine.llm.sentence_pieces import decode, segment
 from indicator_engine.llm.substring_dedup import remove_repeats
 from indicator_engine.llm.token_counts import count_tokens
@@ -90,6 +91,11 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compress(spark, table(spark, sf_dir, "embeddings"))
 
 
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(spark, vectors, vectors.where("vec_id % 20 = 0"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_language_id": op2_language_id,
@@ -102,6 +108,7 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_exact_dedup": op10_exact_dedup,
     "op12_vector_codes": op12_vector_codes,
+    "op13_neighbours": op13_neighbours,
 }
 
 def _assigned(step: int) -> str:
