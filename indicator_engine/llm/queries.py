@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from indicator_engine.llm.conversation_repair import audit
 from indicator_engine.llm.exact_dedup import exact_dedup
 from indicator_engine.llm.html_extract import extract_text
 from indicator_engine.llm.language_id import identify, learn
@@ -87,6 +88,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(spark, table(spark, sf_dir, "conversations"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compress(spark, table(spark, sf_dir, "embeddings"))
 
@@ -107,6 +112,7 @@ QUERIES = {
     "op8_token_output": op8_token_output,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_vector_codes": op12_vector_codes,
     "op13_neighbours": op13_neighbours,
 }
@@ -200,6 +206,75 @@ WITH rows AS (
 SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = min(doc_id) OVER g AS kept, text_sha256
 FROM rows WINDOW g AS (PARTITION BY text_sha256)
+""",
+    "op11_conversation_repair": r"""
+WITH RECURSIVE bytes AS (
+  SELECT list(list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+              lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) ORDER BY b) AS t
+  FROM range(256) r(b)),
+sums AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') AS conv,
+         xor(list_reduce([4294967295]::BIGINT[] || [CAST(ord(c) AS BIGINT) FOR c IN string_split(
+               coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), '')],
+             lambda x, y: xor(x >> 8, t[(xor(x, y) & 255) + 1])), 4294967295) % 20 AS fault
+  FROM conversations, bytes),
+damaged AS (
+  SELECT conv, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM sums, range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)),
+placed AS (
+  SELECT *, row_number() OVER w AS i, count(*) OVER (PARTITION BY conv) AS n, substr(role, 1, 1) AS initial,
+         lag(substr(role, 1, 1)) OVER w AS before
+  FROM damaged WINDOW w AS (PARTITION BY conv ORDER BY turn NULLS FIRST, role, sha256(text))),
+judged AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b'
+                 WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 THEN 'd'
+                 WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE '' END AS state
+  FROM placed),
+priced AS (SELECT *, state IN ('b', 'd') AS must, CASE state WHEN 't' THEN 5 ELSE 0 END AS k FROM judged),
+back(conv, i, c) AS (
+  SELECT conv, n + 1, [0, 10, 5, 0]::BIGINT[] FROM (SELECT DISTINCT conv, n FROM priced)
+  UNION ALL
+  SELECT conv, i, [least(m[1], 5 + least(m[3], 5 + m[4])), least(m[2], 5 + least(m[3], 5 + m[4])),
+                   least(m[3], 5 + m[4]), least(m[4], 5 + m[3])]
+  FROM (SELECT p.conv, p.i, CASE WHEN must THEN [2 + c[1], 2 + c[2], 2 + c[3], 2 + c[4]] ELSE
+          [least(2 + c[1], 1 + k + c[3], CASE initial WHEN 's' THEN k + c[2] WHEN 'u' THEN k + c[3] END),
+           least(2 + c[2], 1 + k + c[3], CASE initial WHEN 'u' THEN k + c[3] END),
+           least(2 + c[3], 1 + k + c[4], CASE initial WHEN 'a' THEN k + c[4] END),
+           least(2 + c[4], 1 + k + c[3], CASE initial WHEN 'u' THEN k + c[3] END)] END AS m
+        FROM back b JOIN priced p ON p.conv = b.conv AND p.i = b.i - 1)),
+walk(conv, step, i, s, edit, role, text) AS (
+  SELECT conv, 0, CAST(1 AS BIGINT), 1, '', '', '' FROM back WHERE i = 1
+  UNION ALL
+  SELECT conv, step + 1, CASE edit WHEN 'I' THEN i ELSE i + 1 END,
+         CASE edit WHEN 'D' THEN s WHEN 'K' THEN kept ELSE moved END, edit,
+         CASE WHEN edit = 'K' THEN role WHEN moved = 3 THEN 'user' ELSE 'assistant' END,
+         CASE edit WHEN 'I' THEN '' ELSE text END
+  FROM (SELECT *, CASE WHEN here[s] = 2 + later[s] THEN 'D' WHEN here[s] = 5 + here[moved] THEN 'I'
+                       WHEN here[s] = k + later[kept] THEN 'K' ELSE 'R' END AS edit
+        FROM (SELECT w.conv, w.step, w.i, w.s, p.role, p.text, p.k, b.c AS here, a.c AS later,
+                     CASE w.s WHEN 3 THEN 4 ELSE 3 END AS moved,
+                     CASE WHEN p.initial = 's' AND w.s = 1 THEN 2 WHEN p.initial = 'u' AND w.s <> 3 THEN 3
+                          WHEN p.initial = 'a' AND w.s = 3 THEN 4 END AS kept
+              FROM walk w JOIN back b ON b.conv = w.conv AND b.i = w.i
+              LEFT JOIN back a ON a.conv = w.conv AND a.i = w.i + 1
+              LEFT JOIN priced p ON p.conv = w.conv AND p.i = w.i
+              WHERE a.c IS NOT NULL OR b.c[w.s] > 0))),
+edited AS (
+  SELECT conv, string_agg(edit, '' ORDER BY step) AS audit,
+         sha256(coalesce(string_agg(role || ':' || text, chr(10) ORDER BY step) FILTER (edit <> 'D'), '')) AS sha
+  FROM walk WHERE step > 0 GROUP BY conv),
+faults AS (
+  SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (state = 'b') AS blank,
+         count(*) FILTER (state = 'd') AS duplicate, count(*) FILTER (state = 't') AS truncated,
+         count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(c[1], 0) AS cost,
+       coalesce(audit, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, conv FROM sums) LEFT JOIN faults USING (conv) LEFT JOIN edited USING (conv)
+LEFT JOIN (SELECT conv, c FROM back WHERE i = 1) USING (conv)
 """,
     "op12_vector_codes": f"""
 WITH kept AS (
