@@ -26,7 +26,13 @@ _DOUBLE_TEXT = (
 
 
 def _guarded(c: Column, pattern: str, kind: str) -> Column:
-    return F.when(c.cast("string").rlike(pattern), c.try_cast(kind))
+    """``try_cast`` whatever the type; the pattern is for text only.
+
+    The type is known when the plan is made, so of the condition nothing is left for a
+    column that is no text.
+    """
+    typed_already = ~F.startswith(F.typeof(c), F.lit("string"))
+    return F.when(typed_already | c.cast("string").rlike(pattern), c.try_cast(kind))
 
 
 def as_int(c: Column | str) -> Column:

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from indicator_engine.functions import as_double, as_int, as_key
 from indicator_engine.names import Names
+from indicator_engine.operators.quality import ALERT, OK
 from indicator_engine.operators.sampling import ordered_sample
 from indicator_engine.operators.targets import latest_by_key
 
@@ -58,18 +56,19 @@ def priority_list(product: DataFrame, k: int, names: Names = Names()) -> DataFra
     return ordered_sample(behind, k, [names.gap, names.year, names.entity])
 
 
-def health(raw: Mapping[str, DataFrame], history: DataFrame, names: Names = Names()) -> DataFrame:
-    """Volume and last arrival of every raw table beside the last value of every check."""
-    volumes = [
-        table.agg(
-            F.lit("carga").alias("sinal"),
-            F.lit(name).alias("alvo"),
-            F.count(F.lit(1)).cast("double").alias("valor"),
-            F.lit(None).cast("string").alias("status"),
-            F.max(names.ingested).alias("quando"),
-        )
-        for name, table in raw.items()
-    ]
+def health(audits: DataFrame, history: DataFrame) -> DataFrame:
+    """The last load of every table beside the last value of every check.
+
+    Both are histories of a row a write and a row a check; no table is read to count it.
+    """
+    last_load = latest_by_key(audits, ["tabela"], age=F.col("executado_em"))
+    loads = last_load.select(
+        F.lit("carga").alias("sinal"),
+        F.col("tabela").alias("alvo"),
+        F.col("linhas").cast("double").alias("valor"),
+        F.when(F.col("rejeitadas") > 0, ALERT).otherwise(OK).alias("status"),
+        F.col("executado_em").alias("quando"),
+    )
     last_run = latest_by_key(history, ["tabela", "metrica"], age=F.col("executado_em"))
     checks = last_run.select(
         F.lit("qualidade").alias("sinal"),
@@ -78,4 +77,4 @@ def health(raw: Mapping[str, DataFrame], history: DataFrame, names: Names = Name
         "status",
         F.col("executado_em").alias("quando"),
     )
-    return reduce(DataFrame.unionByName, [*volumes, checks])
+    return loads.unionByName(checks)

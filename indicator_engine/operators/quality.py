@@ -89,6 +89,12 @@ def cast_rejects(column: str, kind: str) -> Check:
     return Check("tipagem", f"rejeitados_{column}", lost, detail=f"tipo={kind}")
 
 
+def rejected_lines(quarantine: DataFrame, table: str) -> DataFrame:
+    """Report row with the number of lines of a raw table's files that had another width."""
+    check = Check("carga", "linhas_rejeitadas", F.lit(True), detail="largura diferente do cabecalho")
+    return run_checks(quarantine, table, [check])
+
+
 def load_rejects(raw: Mapping[str, DataFrame], types: Mapping[str, Mapping[str, str]]) -> DataFrame:
     """Report rows with the values that typing turns into null, per raw table and column."""
     reports = [

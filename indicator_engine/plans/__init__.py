@@ -3,8 +3,19 @@ from indicator_engine.plans.layers import (
     extract_all,
     land_all,
     load_gold,
+    load_health,
     load_silver,
+    record_loads,
     run_quality,
 )
 
-__all__ = ["Lakehouse", "extract_all", "land_all", "load_gold", "load_silver", "run_quality"]
+__all__ = [
+    "Lakehouse",
+    "extract_all",
+    "land_all",
+    "load_gold",
+    "load_health",
+    "load_silver",
+    "record_loads",
+    "run_quality",
+]

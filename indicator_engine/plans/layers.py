@@ -11,15 +11,18 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from indicator_engine.names import Names
 from indicator_engine.operators import (
     entity_year_fact,
     evolution,
+    health,
     integrate,
     keyed_targets,
     latest_indicator,
@@ -39,12 +42,17 @@ from indicator_engine.sinks import (
     land_raw,
     overwrite,
     publish,
+    record,
 )
 from indicator_engine.sources import EXTRACTS, RAW_ENTITIES, Extract, extract, read_raw, state_dimension
 from indicator_engine.sources.extract import TARGET_YEARS
 
 INTEGRATED = "municipio_ano_integrada"
 
+# table of the lines of a raw table's files that had another width than their header
+QUARANTINE = "{}_rejeitados"
+AUDITS = "historico_cargas"
+
 PRODUCTS = {
     "indicador_por_municipio": latest_indicator,
     "meta_versus_resultado": target_vs_result,
@@ -88,6 +96,23 @@ class Lakehouse:
     def raw(self, name: str) -> DataFrame:
         return read_raw(self.read(self.bronze, name), self.names)
 
+    def quarantine(self, name: str) -> Table:
+        return self.table(self.bronze, QUARANTINE.format(name))
+
+    def raw_types(self) -> dict[str, dict[str, str]]:
+        """What the typed layer makes of the text of each raw table."""
+        n = self.names
+        measures = {n.year: "int"} | {m: "double" for m in n.measures}
+        targets = {n.year: "int"} | {n.target_column(y): "double" for y in self.target_years}
+        return {
+            "municipio": measures,
+            "uf": measures,
+            "meta_alfabetizacao_municipio": targets,
+            "meta_alfabetizacao_uf": targets,
+            "meta_alfabetizacao_brasil": targets,
+            "alunos": {n.year: "int", n.raw_score: "double"},
+        }
+
 
 Item = TypeVar("Item")
 Done = TypeVar("Done")
@@ -122,7 +147,7 @@ def land_all(
     entities: Mapping[str, str] = RAW_ENTITIES,
     columns: Mapping[str, Sequence[str]] | None = None,
 ) -> list[LoadAudit]:
-    """One raw table per CSV entity.
+    """One raw table per CSV entity, and one of the lines that had another width.
 
     All files of an entity must have the same header: that of ``columns`` where it
     names the entity, else that of the first file.
@@ -134,7 +159,15 @@ def land_all(
         path = f"{folder.rstrip('/')}/{file}"
         declared = list(columns[name]) if columns and name in columns else None
         table = lake.table(lake.bronze, name)
-        return land_raw(lake.spark, path, table, origin=file, columns=declared, names=lake.names)
+        return land_raw(
+            lake.spark,
+            path,
+            table,
+            origin=file,
+            columns=declared,
+            names=lake.names,
+            quarantine=lake.quarantine(name),
+        )
 
     return side_by_side(lake.spark, land, entities.items())
 
@@ -178,8 +211,26 @@ def load_gold(lake: Lakehouse) -> list[LoadAudit]:
     )
 
 
+def lost_by_load(lake: Lakehouse) -> DataFrame:
+    """Report rows of what the load could not take: values of no such type, lines of another width.
+
+    Raw tables that are not there, and columns they lack, have no row.
+    """
+    types = {}
+    lines = []
+    for name, kinds in lake.raw_types().items():
+        if lake.table(lake.bronze, name).exists(lake.spark):
+            there = set(lake.raw(name).columns)
+            types[name] = {column: kind for column, kind in kinds.items() if column in there}
+        if lake.quarantine(name).exists(lake.spark):
+            lines.append(quality.rejected_lines(lake.quarantine(name).read(lake.spark), name))
+    values = [quality.load_rejects({t: lake.raw(t) for t in types}, types)] if types else []
+    nothing = lake.spark.createDataFrame([], T.StructType(quality.REPORT_SCHEMA.fields[:-1]))
+    return reduce(DataFrame.unionByName, [*values, *lines], nothing)
+
+
 def run_quality(lake: Lakehouse) -> LoadAudit:
-    """Check the integrated table and append the report to its history."""
+    """Check the integrated table and what the load lost; append the report to its history."""
     lake.prepare(lake.gold)
     n = lake.names
     report = quality.quality_report(
@@ -196,4 +247,15 @@ def run_quality(lake: Lakehouse) -> LoadAudit:
         ],
     )
     history = lake.table(lake.gold, "relatorio_qualidade")
-    return append(quality.stamped(report), history, quality.REPORT_SCHEMA)
+    return append(quality.stamped(report.unionByName(lost_by_load(lake))), history, quality.REPORT_SCHEMA)
+
+
+def record_loads(lake: Lakehouse, audits: Sequence[LoadAudit]) -> LoadAudit:
+    """Append what a load's writes have counted to its history."""
+    lake.prepare(lake.gold)
+    return record(lake.spark, audits, lake.table(lake.gold, AUDITS))
+
+
+def load_health(lake: Lakehouse) -> DataFrame:
+    """The last load of every table and the last value of every check, from the two histories."""
+    return health(lake.read(lake.gold, AUDITS), lake.read(lake.gold, "relatorio_qualidade"))

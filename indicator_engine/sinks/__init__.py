@@ -1,4 +1,6 @@
 from indicator_engine.sinks.tables import (
+    AUDIT_SCHEMA,
+    REJECTED,
     LoadAudit,
     Table,
     append,
@@ -8,9 +10,13 @@ from indicator_engine.sinks.tables import (
     land_raw,
     overwrite,
     publish,
+    publish_partitions,
+    record,
 )
 
 __all__ = [
+    "AUDIT_SCHEMA",
+    "REJECTED",
     "LoadAudit",
     "Table",
     "append",
@@ -20,4 +26,6 @@ __all__ = [
     "land_raw",
     "overwrite",
     "publish",
+    "publish_partitions",
+    "record",
 ]

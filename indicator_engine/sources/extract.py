@@ -89,4 +89,4 @@ def extract(source: DataFrame, spec: Extract, order_by: Sequence[str] | None = N
     rows = rows.select(*spec.columns)
     if spec.sample is None:
         return rows
-    return ordered_sample(rows, spec.sample, order_by or spec.columns)
+    return ordered_sample(rows, spec.sample, order_by or spec.columns, scanned=True)

@@ -4,6 +4,7 @@ import datetime as dt
 
 from indicator_engine import operators as op
 from indicator_engine.operators import quality as q
+from indicator_engine.sinks import AUDIT_SCHEMA
 
 DAY = dt.datetime(2026, 1, 1)
 
@@ -55,20 +56,21 @@ def test_priority_list(spark):
 
 
 def test_health(spark):
-    raw = spark.createDataFrame([("x", DAY), ("y", DAY + dt.timedelta(days=1))], "v string, _ingestao_ts timestamp")
+    later = DAY + dt.timedelta(days=1)
+    audits = spark.createDataFrame([("uf", 5, 0, DAY), ("uf", 2, 1, later), ("vazia", 0, 0, DAY)], AUDIT_SCHEMA)
     history = spark.createDataFrame(
         [
             ("t", "tab", "m", 3.0, "alerta", "", DAY),
-            ("t", "tab", "m", 0.0, "ok", "", DAY + dt.timedelta(days=1)),
+            ("t", "tab", "m", 0.0, "ok", "", later),
             ("t", "tab", "n", 1.0, "alerta", "", DAY),
         ],
         q.REPORT_SCHEMA,
     )
-    assert rows(op.health({"uf": raw, "vazia": raw.limit(0)}, history)) == sorted(
+    assert rows(op.health(audits, history)) == sorted(
         [
-            ("carga", "uf", 2.0, None, DAY + dt.timedelta(days=1)),
-            ("carga", "vazia", 0.0, None, None),
-            ("qualidade", "tab.m", 0.0, "ok", DAY + dt.timedelta(days=1)),
+            ("carga", "uf", 2.0, "alerta", later),
+            ("carga", "vazia", 0.0, "ok", DAY),
+            ("qualidade", "tab.m", 0.0, "ok", later),
             ("qualidade", "tab.n", 1.0, "alerta", DAY),
         ],
         key=repr,

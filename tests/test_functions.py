@@ -93,3 +93,28 @@ def test_the_guard_accepts_what_the_cast_accepts(spark, guarded, kind):
     for r in df.select("v", guarded("v").alias("a"), F.col("v").try_cast(kind).alias("b")).collect():
         assert str(r.a) == str(r.b), repr(r.v)
     assert spark.range(1).select(guarded("id")).dtypes[0][1] == kind
+
+
+VALUES = {
+    "string": ["1", " 2 ", "2023.0", "1e3", "x", "", None, "3000000000", "NaN", "-.5"],
+    "double": [1.5e7, -3.9, 1e20, float("nan"), float("inf"), None, 0.0],
+    "float": [1.5, 2.5e9, None],
+    "decimal(20,4)": ["15000000.5", "99999999999.5", "-1", None],
+    "boolean": [True, False, None],
+    "bigint": [5, 2**40, None],
+    "int": [7, -7, None],
+}
+
+
+@pytest.mark.parametrize("kind", VALUES)
+@pytest.mark.parametrize("cast, target", [(as_int, "int"), (as_double, "double")])
+def test_casts_equal_try_cast_for_every_type(spark, kind, cast, target):
+    values = [(i, None if v is None else str(v)) for i, v in enumerate(VALUES[kind])]
+    df = spark.createDataFrame(values, "i int, t string").select("i", F.col("t").cast(kind).alias("v"))
+    both = df.select("i", cast("v").alias("own"), F.col("v").try_cast(target).alias("plain"))
+    assert [r.own for r in both.collect() if r.own is not None and r.own == r.own] == [
+        r.plain for r in both.collect() if r.plain is not None and r.plain == r.plain
+    ]
+    assert both.where("NOT (own <=> plain)").count() == 0
+    if kind != "string":
+        assert "RLIKE" not in both._jdf.queryExecution().optimizedPlan().toString()

@@ -6,7 +6,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from indicator_engine.operators import quality as q
-from indicator_engine.plans import Lakehouse, extract_all, land_all, load_gold, load_silver, run_quality
+from indicator_engine.plans import (
+    Lakehouse,
+    extract_all,
+    land_all,
+    load_gold,
+    load_health,
+    load_silver,
+    record_loads,
+    run_quality,
+)
 from indicator_engine.sources import EXTRACTS, RAW_ENTITIES, STUDENT_SAMPLE, read_csv_text
 from tests import fixtures_raw
 
@@ -98,8 +107,13 @@ REPORT = {
 }
 
 
+# rows of the report about what the load could not take, a row a typed column and a raw table
+LOST = 3 + 3 + 8 * 3 + 2 + 6
+
+
 def run(lake, raw):
     audits = [*land_all(lake, str(raw)), *load_silver(lake), *load_gold(lake), run_quality(lake)]
+    record_loads(lake, audits)
     return {a.table: a.rows for a in audits}
 
 
@@ -136,14 +150,35 @@ def test_load_twice(spark, tmp_path, raw, layout):
     lake = Lakehouse(spark, root=str(tmp_path / "lake"), **schemas, **LAYOUTS[layout])
     first = run(lake, raw)
     assert len(first) == 6 + 8 + 4 + 1
-    assert sorted(first.values()) == sorted([3, 9, 2, 3, 6, 6, 27, 8, 2, 28, 14, 7, 8, 2, 6, 3, 8, 8, 6])
+    assert sorted(first.values()) == sorted([3, 9, 2, 3, 6, 6, 27, 8, 2, 28, 14, 7, 8, 2, 6, 3, 8, 8, 6 + LOST])
     check(lake)
     assert run(lake, raw) == first
     check(lake)
     history = lake.read(lake.gold, "relatorio_qualidade")
-    assert history.count() == 12
-    assert {(r.teste, r.metrica, r.valor, r.status) for r in history.collect()} == REPORT
+    assert history.count() == 2 * (6 + LOST)
+    own = history.where("tabela = 'municipio_ano_integrada'")
+    assert {(r.teste, r.metrica, r.valor, r.status) for r in own.collect()} == REPORT
     assert history.columns == q.REPORT_SCHEMA.names
+    lost = history.where("tabela <> 'municipio_ano_integrada' AND valor > 0").distinct().collect()
+    assert {(r.tabela, r.metrica, r.valor) for r in lost} == {("municipio", "rejeitados_ano", 1.0)}
+    health = {(r.sinal, r.alvo): r.valor for r in load_health(lake).collect()}
+    assert len(health) == 19 + 6 + LOST
+    assert health["carga", lake.table(lake.bronze, "municipio").label] == 9.0
+    assert health["qualidade", "municipio.rejeitados_ano"] == 1.0
+
+
+def test_broken_lines_do_not_stop_the_load(spark, tmp_path, raw):
+    with open(raw / "municipio.csv", "a", encoding="utf-8") as file:
+        file.write("2024,3550308,2\n2024,3550308,2,3,61.0,730.0,extra\n")
+    lake = Lakehouse(spark, root=str(tmp_path / "lake"), catalog=False)
+    rows = run(lake, raw)
+    check(lake)
+    assert rows[lake.table(lake.bronze, "municipio").label] == 9
+    assert lake.quarantine("municipio").read(spark).count() == 2
+    told = {(r.tabela, r.metrica): (r.valor, r.status) for r in lake.read(lake.gold, "relatorio_qualidade").collect()}
+    assert told["municipio", "linhas_rejeitadas"] == (2.0, "alerta") and told["uf", "linhas_rejeitadas"] == (0.0, "ok")
+    bad = load_health(lake).where("sinal = 'carga' AND status = 'alerta'").collect()
+    assert [r.alvo for r in bad] == [lake.table(lake.bronze, "municipio").label]
 
 
 def test_managed_tables(spark, raw):

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import datetime
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from indicator_engine import operators as op
 from indicator_engine.names import Names
@@ -234,8 +236,44 @@ def test_ordered_sample_is_exact_and_repeatable(spark):
     want = sorted(data, key=lambda t: (t[0] is None, t[0] or "", t[1]))
     for n in (1, 700, 1500, 5000):
         for parts in (1, 13):
-            got = [tuple(r) for r in op.ordered_sample(df.repartition(parts), n, ["k", "v"]).collect()]
-            assert got == want[:n]
+            for scanned in (False, True):
+                sample = op.ordered_sample(df.repartition(parts), n, ["k", "v"], scanned=scanned)
+                assert [tuple(r) for r in sample.collect()] == want[:n]
+
+
+ORDERS = {
+    "int, text": ("a int, b string", lambda r: (r.choice([None, -5, 3, 2**31 - 1, -(2**31)]), r.choice(["", "ab", "é", None, "\U0001f600z"]))),
+    "text, int": ("a string, b int", lambda r: ("".join(r.choices("abé\uffff", k=r.randrange(12))) or None, r.randrange(3))),
+    "double, text": ("a double, b string", lambda r: (r.choice([None, float("-inf"), -0.5, 1e300, r.random()]), "x")),
+    "long, int": ("a long, b int", lambda r: (r.choice([None, -(2**62), 2**62, r.randrange(9)]), r.randrange(9))),
+    "int, int, text": ("a int, b int, c string", lambda r: (r.choice([1, None]), r.choice([7, 2**31 - 1, None]), r.choice("pq"))),
+    "date, text": ("a date, b string", lambda r: (r.choice([None, datetime.date(1960, 1, 1), datetime.date(2020, 5, r.randrange(1, 9))]), "y")),
+    "boolean, int": ("a boolean, b int", lambda r: (r.choice([None, True, False]), r.randrange(50))),
+}
+
+
+@pytest.mark.parametrize("kind", ORDERS)
+def test_cut_samples_of_every_type(spark, kind):
+    """The image of the order key never falls along the order, and nothing of the sample is cut."""
+    schema, make = ORDERS[kind]
+    rng = random.Random(3)
+    df = spark.createDataFrame([make(rng) for _ in range(1500)], schema).repartition(7)
+    order = [F.col(c).asc_nulls_last() for c in df.columns]
+    whole = [tuple(r) for r in df.orderBy(*order).collect()]
+    for n in (1, 40, 1499, 1600):
+        assert [tuple(r) for r in op.ordered_sample(df, n, df.columns, scanned=True).collect()] == whole[:n]
+    image = op.sampling.order_image(df, df.columns)
+    assert (image is None) == (kind == "boolean, int")
+    if image is not None:
+        images = [r[0] for r in df.orderBy(*order).select(image[0]).collect() if r[0] is not None]
+        assert images == sorted(images)
+
+
+def test_cut_does_not_grow_with_partitions(spark, tmp_path):
+    """Rows that pass the cut, of input in few or many partitions."""
+    rows = spark.range(400_000).selectExpr("CAST(pmod(hash(id), 5) AS int) AS y", "CAST(hash(id, 1) AS string) AS k")
+    passed = [op.sampling.below_cut(rows.repartition(parts), 500, ["y", "k"]).count() for parts in (4, 150)]
+    assert all(500 <= n < 6000 for n in passed), passed
 
 
 def test_extract(spark):

@@ -4,7 +4,19 @@ import pytest
 from pyspark.sql import functions as F
 
 from indicator_engine.session import shared_folder
-from indicator_engine.sinks import Table, audit_frame, ensure_schema, export_csv, land_raw, overwrite, publish
+from indicator_engine.sinks import (
+    LoadAudit,
+    Table,
+    append,
+    audit_frame,
+    ensure_schema,
+    export_csv,
+    land_raw,
+    overwrite,
+    publish,
+    publish_partitions,
+    record,
+)
 from indicator_engine.sources import read_csv_text, read_raw
 
 
@@ -75,6 +87,109 @@ def test_a_write_that_fails_leaves_the_old_rows(spark, tmp_path, kind):
     assert [p for p in tmp_path.iterdir() if "staged" in p.name] == []
 
 
+@pytest.mark.parametrize("kind", ["managed", "external", "partitioned", "bucketed"])
+def test_a_catalog_table_is_never_half_of_two_versions(spark, tmp_path, monkeypatch, kind):
+    """The last step, pointing the catalog to the new files, is cut off: the old rows stay; then it is done."""
+    ensure_schema(spark, "whole_rows")
+    table = Table(f"whole_rows.{kind}", None if kind == "managed" else str(tmp_path / "t"))
+    write = {
+        "partitioned": lambda df: publish(df, table, "y"),
+        "bucketed": lambda df: overwrite(df, table, bucket_by="v", buckets=3),
+    }.get(kind, lambda df: overwrite(df, table))
+    rows = spark.range(10).selectExpr("id AS v", "id % 2 AS y")
+    write(rows)
+    write(rows.where("v < 9"))
+
+    def cut(*_, **__):
+        raise RuntimeError("cut off")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Table, "_point", cut)
+        with pytest.raises(RuntimeError):
+            write(rows.where("v > 5"))
+    assert sorted(r.v for r in table.read(spark).collect()) == list(range(9))
+    reader = table.read(spark)  # begun before the next version
+    assert write(rows.where("v > 5")).rows == 4
+    assert sorted(r.v for r in table.read(spark).collect()) == [6, 7, 8, 9]
+    assert reader.count() in (4, 9)
+    assert [t.name for t in spark.catalog.listTables("whole_rows") if "__" in t.name] == []
+    if kind == "bucketed":
+        by_key = table.read(spark).groupBy("v").count()
+        assert "hashpartitioning" not in by_key._jdf.queryExecution().executedPlan().toString()
+
+
+def test_old_versions_go(spark, tmp_path):
+    ensure_schema(spark, "versions")
+    table = Table("versions.t", str(tmp_path / "t"))
+    for n in range(1, 6):
+        overwrite(spark.range(n), table)
+    assert table.read(spark).count() == 5
+    assert len([p for p in (tmp_path / "t").iterdir() if p.name.startswith("v-")]) == 2
+    append(spark.range(3), table, spark.range(3).schema)
+    assert table.read(spark).count() == 8
+    overwrite(spark.range(2).selectExpr("id", "'x' AS more"), table)
+    assert table.read(spark).columns == ["id", "more"]
+
+
+def test_years_are_replaced_alone(spark, tmp_path):
+    ensure_schema(spark, "years")
+    table = Table("years.t", str(tmp_path / "t"))
+    rows = spark.range(12).selectExpr("id AS v", "CAST(nullif(2020 + id % 4, 2023) AS int) AS ano")
+    publish(rows, table)
+    places = lambda: {f.split("/ano=")[1].split("/")[0]: f.split("/")[-3] for f in table.read(spark).inputFiles()}
+    before = places()
+    assert publish_partitions(rows.where("ano = 2021").selectExpr("v * 10 AS v", "ano"), table, [2021]).rows == 3
+    after = places()
+    assert {y for y in before if before[y] != after[y]} == {"2021"}
+    publish_partitions(rows.where("false"), table, [2022])
+    publish_partitions(rows.where("ano IS NULL").selectExpr("v + 100 AS v", "ano"), table, [None])
+    got = sorted(((r.v, r.ano) for r in table.read(spark).collect()), key=repr)
+    assert got == sorted(
+        [(v, 2020) for v in (0, 4, 8)] + [(v, 2021) for v in (10, 50, 90)] + [(v, None) for v in (103, 107, 111)], key=repr
+    )
+
+
+BROKEN = 'ano,uf,v\n2023,SP,1\n2024,RJ\n2025,MG,3,4\n2026,"BA,5\n2027,"x""y",6\n\n2029,"open\nclose",8\n'
+LINES = ["2024,RJ", "2025,MG,3,4", '2026,"BA,5', '2029,"open', 'close",8']
+
+
+@pytest.mark.parametrize("declared", [["ano", "uf", "v"], None])
+def test_lines_of_another_width_go_into_quarantine(spark, tmp_path, declared):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text(BROKEN)
+    (folder / "b.csv").write_text("ano,uf,v\n2030,AM,9\n")
+    table, quarantine = Table(path=str(tmp_path / "raw")), Table(path=str(tmp_path / "rejected"))
+    land = lambda **more: land_raw(spark, str(folder), table, columns=declared, **more)
+    with pytest.raises(Exception):
+        land()
+    audit = land(quarantine=quarantine)
+    assert (audit.rows, audit.rejected) == (3, 5)
+    assert {tuple(r)[:4] for r in table.read(spark).collect()} == {
+        ("2023", "SP", "1", "a.csv"), ("2027", 'x"y', "6", "a.csv"), ("2030", "AM", "9", "b.csv")
+    }
+    assert quarantine.read(spark).columns == ["_linha", "_valores", "_arquivo_origem", "_ingestao_ts"]
+    assert sorted((r[0], r[2]) for r in quarantine.read(spark).collect()) == sorted((x, "a.csv") for x in LINES)
+    (folder / "a.csv").write_text("ano,uf,v\n2023,SP,1\n")
+    assert land(quarantine=quarantine).rejected == 0
+    assert quarantine.read(spark).count() == 0
+
+
+def test_a_quarantine_reads_values_with_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('a,b\n1,"x\ny"\n2\n3,z\n')
+    table, quarantine = Table(path=str(tmp_path / "raw")), Table(path=str(tmp_path / "rejected"))
+    audit = land_raw(spark, str(tmp_path / "a.csv"), table, multi_line=True, quarantine=quarantine)
+    assert (audit.rows, audit.rejected) == (2, 1)
+    assert {(r.a, r.b) for r in table.read(spark).collect()} == {("1", "x\ny"), ("3", "z")}
+
+
+def test_audit_history(spark, tmp_path):
+    history = Table(path=str(tmp_path / "audits"))
+    for n in (1, 2):
+        record(spark, [LoadAudit("a", n, 3), LoadAudit("b", 0)], history)
+    assert sorted(tuple(r)[:3] for r in history.read(spark).collect()) == [("a", 1, 3), ("a", 2, 3), ("b", 0, 0), ("b", 0, 0)]
+
+
 def test_csv_keeps_every_value(spark, tmp_path):
     values = [' lead', 'trail ', 'say "hi", you', 'back\\slash', 'a\nb', 'x,"', None, "1"]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i string, v string")
