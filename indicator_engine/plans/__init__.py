@@ -5,6 +5,7 @@ from indicator_engine.plans.layers import (
     load_gold,
     load_health,
     load_silver,
+    lost_by_load,
     record_loads,
     run_quality,
 )
@@ -16,6 +17,7 @@ __all__ = [
     "load_gold",
     "load_health",
     "load_silver",
+    "lost_by_load",
     "record_loads",
     "run_quality",
 ]

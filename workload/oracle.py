@@ -161,56 +161,113 @@ def _loaded() -> str:
         )
 
     codes = ", ".join(f"'{c}'" for c in (11, 12, 13, 14, 15, 16, 17, 21, 22, 23, 24))
+    raw_rows = {
+        "municipio": ("fact_raw", ("ano", "taxa", "media")),
+        "uf": ("fact_raw", ("ano", "taxa", "media")),
+        "metas": ("target_wide", ("ano", *(f"meta_{y}" for y in _GROWTH), "base")),
+        "metas_uf": ("region_target_wide", ("ano", *(f"meta_{y}" for y in _GROWTH), "base")),
+        "metas_br": ("national_target_wide", ("ano", *(f"meta_{y}" for y in _GROWTH), "base")),
+        "alunos": ("student_raw", ("ano", "score")),
+    }
+    typed = " UNION ALL ".join(
+        f"SELECT '{t}' AS t, '{c}' AS c, CAST({c} AS VARCHAR) AS v FROM {source}"
+        for t, (source, columns) in raw_rows.items()
+        for c in columns
+    )
+    aluno = """(SELECT count(*) AS n, avg(score) AS score, avg(CASE WHEN flag IN ('R', 'A') THEN 1 ELSE 0 END) AS share
+                FROM student_raw GROUP BY ano, id)"""
+    region = """(SELECT ano + 28 AS ano, avg(taxa / 5000.0) AS taxa, avg(media) AS media
+                 FROM fact_raw JOIN nation ON c_nationkey = n_nationkey WHERE rede = '5-LOW' GROUP BY ano, n_name)"""
+    raw = "(SELECT ano + 28 AS ano, taxa / 5000.0 AS taxa, media FROM fact_raw WHERE rede = '{}')"
+    rates = {"taxa_alfabetizacao": "taxa", "media_portugues": "media"}
+    own_rates = {"ano": "ano", **rates}
+    joined = {"meta_ano_corrente": "meta_taxa", "gap_meta": "gap", "atingiu_meta": "CASE WHEN gap >= 0 THEN 1 WHEN gap < 0 THEN 0 END"}
+    long_row = {"ano_meta": "ano_meta", "meta_taxa": "meta_taxa"}
+    states = ", ".join(f"('{code}')" for code, *_ in STATES)
     parts = {
-        "silver.dim_uf": ("(SELECT unnest(range(27)))", None),
-        "silver.fato_municipio": ("fato", "taxa"),
-        "silver.fato_uf": (
-            """(SELECT avg(taxa / 5000.0) AS taxa FROM fact_raw JOIN nation ON c_nationkey = n_nationkey
-                WHERE rede = '5-LOW' GROUP BY ano, n_name)""",
-            "taxa",
+        "bronze.municipio": (raw.format("3-MEDIUM"), own_rates),
+        "bronze.uf": (raw.format("5-LOW"), own_rates),
+        "bronze.meta_alfabetizacao_municipio": (
+            "target_wide", {"ano": "ano + 28", "meta_alfabetizacao_2025": years[1997]},
+        ),
+        "bronze.meta_alfabetizacao_uf": (
+            "region_target_wide", {"ano": "ano + 28", "meta_alfabetizacao_2026": years[1998]},
         ),
-        "silver.meta_municipio_long": ("metas", "meta_taxa"),
-        "silver.meta_uf_long": (f"({long('latest_region_wide', '')})", "meta_taxa"),
-        "silver.meta_brasil_long": (f"({long('latest_national_wide', '')})", "meta_taxa"),
-        "silver.municipio_ano_integrada": ("base", "gap"),
+        "bronze.meta_alfabetizacao_brasil": (
+            "national_target_wide", {"ano": "ano + 28", "meta_alfabetizacao_2030": years[2002]},
+        ),
+        "bronze.alunos": ("student_raw", {"ano": "ano + 28", "proficiencia": "score"}),
+        "silver.dim_uf": (f"(SELECT CAST(column0 AS INTEGER) AS codigo FROM (VALUES {states}) t(column0))", {"codigo_uf": "codigo"}),
+        "silver.fato_municipio": ("fato", own_rates),
+        "silver.fato_uf": (region, own_rates),
+        "silver.meta_municipio_long": ("metas", long_row),
+        "silver.meta_uf_long": (f"({long('latest_region_wide', '')})", long_row),
+        "silver.meta_brasil_long": (f"({long('latest_national_wide', '')})", long_row),
+        "silver.municipio_ano_integrada": ("base", own_rates | joined),
         "silver.indicador_alunos_municipio": (
-            "(SELECT avg(score) AS score FROM student_raw GROUP BY ano, id)", "score",
+            aluno, {"qtd_alunos_amostra": "n", "proficiencia_media": "score", "prop_alfabetizado_amostra": "share"},
         ),
         "gold.indicador_por_municipio": (
-            "(SELECT arg_max(taxa, ano) AS taxa FROM base GROUP BY id_entity)", "taxa",
+            "(SELECT * FROM base QUALIFY row_number() OVER (PARTITION BY id_entity ORDER BY ano DESC) = 1)",
+            own_rates | {"gap_meta": "gap"},
+        ),
+        "gold.meta_versus_resultado": (
+            "(SELECT * FROM base WHERE gap IS NOT NULL)", {"taxa_alfabetizacao": "taxa"} | joined,
         ),
-        "gold.meta_versus_resultado": ("(SELECT * FROM base WHERE gap IS NOT NULL)", "gap"),
         "gold.evolucao_temporal": (
-            "(SELECT taxa - lag(taxa) OVER (PARTITION BY id_entity ORDER BY ano) AS dif FROM base)", "dif",
+            "(SELECT taxa, lag(taxa) OVER (PARTITION BY id_entity ORDER BY ano) AS antes FROM base)",
+            {"taxa_alfabetizacao": "taxa", "taxa_ano_anterior": "antes", "variacao": "taxa - antes"},
+        ),
+        "gold.resumo_por_uf": (
+            "(SELECT ano, count(*) AS n FROM base GROUP BY ano, codigo)", {"ano": "ano", "qtd_municipios": "n"},
         ),
-        "gold.resumo_por_uf": ("(SELECT count(*) AS n FROM base GROUP BY ano, codigo)", "n"),
         "gold.relatorio_qualidade": (
-            """(SELECT unnest([count(*) - count(DISTINCT (ano, id_entity)), 0, 0, count(*) - count(codigo), 0,
-                              count(CASE WHEN taxa < 0 OR taxa > 100 THEN 1 END)]) AS valor FROM base)""",
-            "valor",
+            f"""(SELECT unnest([
+                  count(*) - count(DISTINCT (ano, id_entity)),
+                  round({_nulls("id_entity")}, 2), round({_nulls("taxa")}, 2), count(*) - count(codigo),
+                  count(CASE WHEN codigo NOT IN ({codes}) THEN 1 END), count(CASE WHEN taxa < 0 OR taxa > 100 THEN 1 END)
+                ]) AS valor FROM base
+                UNION ALL SELECT count(CASE WHEN TRY_CAST(v AS DOUBLE) IS NULL AND v IS NOT NULL THEN 1 END)
+                FROM ({typed}) GROUP BY t, c
+                UNION ALL SELECT 0 FROM range(6))""",  # no line of the six exports has another width
+            {"valor": "valor"},
         ),
     }
     rows = " UNION ALL ".join(
-        f"""SELECT '{name}' AS tabela, count(*) AS linhas, """
-        + ("CAST(NULL AS DOUBLE)" if column is None else
-           f"CAST(round(sum(CAST({column} AS DECIMAL(28,8))), 2) AS DOUBLE)")
-        + f" AS soma FROM {source}"
-        for name, (source, column) in parts.items()
+        f"""SELECT '{name}' AS tabela, count(*) AS linhas, '{column}' AS coluna,
+                   CAST(round(sum(CAST({value} AS DECIMAL(28,8))), 2) AS DOUBLE) AS soma FROM {source}"""
+        for name, (source, columns) in parts.items()
+        for column, value in columns.items()
     )
     wanted = _relations(
         "fact_raw", "base_rows", "target_wide", "latest_wide", "region_target_wide", "latest_region_wide",
         "national_target_wide", "latest_national_wide", "student_raw",
     )
     return f"""{wanted},
-        fato AS (SELECT ano + 28 AS ano, id_entity, avg(taxa / 5000.0) AS taxa,
+        fato AS (SELECT ano + 28 AS ano, id_entity, avg(taxa / 5000.0) AS taxa, avg(media) AS media,
                         CASE WHEN substr(id_entity, 1, 2) IN ({codes}) THEN substr(id_entity, 1, 2) END AS codigo
                  FROM fact_raw WHERE rede = '3-MEDIUM' GROUP BY ano, id_entity),
         metas AS ({long("latest_wide", "id_entity, ")}),
-        base AS (SELECT f.*, f.taxa - m.meta_taxa AS gap FROM fato f
+        base AS (SELECT f.*, m.meta_taxa, f.taxa - m.meta_taxa AS gap FROM fato f
                  LEFT JOIN metas m ON f.id_entity = m.id_entity AND f.ano = m.ano_meta)
         {rows}"""
 
 
+_YEAR = "CAST(year(ts) - user_id % 3 AS INTEGER)"
+_UPDATED = f"""
+        WITH fact AS (SELECT CAST(year(o_orderdate) + 23 AS INTEGER) AS ano, CAST(o_custkey AS VARCHAR) AS id_municipio,
+                             avg(o_totalprice) AS taxa, avg(o_totalprice * 2) AS media
+                      FROM orders GROUP BY 1, 2),
+             newest AS (SELECT CAST(user_id AS VARCHAR) AS id_municipio, {_YEAR} AS ano, arg_max(value, ts) AS taxa,
+                               arg_max(struct_pack(m := CASE WHEN event_id % 2 = 0 THEN value * 2 END), ts).m AS media
+                        FROM events GROUP BY 1, 2)"""
+
+_BROKEN = """
+        WITH lines AS (
+          SELECT o_orderkey % 7 AS kind, CAST(year(o_orderdate) AS VARCHAR) || CASE o_orderstatus WHEN 'P' THEN '.0' ELSE '' END AS ano,
+                 CAST(o_custkey AS VARCHAR) AS id, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS v, o_orderstatus
+          FROM orders)"""
+
 ORACLE = {
     "entity_year_fact": f"""{_relations(*_FACT)}
         SELECT {_columns("codigo, ano, id_entity, sigla, nome, regiao", "taxa", "media")} FROM entity_fact""",
@@ -291,11 +348,15 @@ ORACLE = {
     "quality_history": f"""{_relations(*_ALL, "report")}
         SELECT * FROM report UNION ALL SELECT * FROM report""",
     "stream_landed": """
-        SELECT CAST(user_id AS VARCHAR) AS id_municipio, CAST(year(ts) AS INTEGER) AS ano,
-               value AS taxa_alfabetizacao, CAST(NULL AS DOUBLE) AS media_portugues, epoch_us(ts) AS evento_us
+        SELECT CAST(user_id AS VARCHAR) AS id_municipio, CAST(year(ts) - user_id % 3 AS INTEGER) AS ano,
+               value AS taxa_alfabetizacao, CASE WHEN event_id % 2 = 0 THEN value * 2 END AS media_portugues, epoch_us(ts) AS evento_us
+        FROM events""",
+    "stream_from_table": """
+        SELECT CAST(user_id AS VARCHAR) AS id_municipio, CAST(year(ts) - user_id % 3 AS INTEGER) AS ano,
+               value AS taxa_alfabetizacao, CASE WHEN event_id % 2 = 0 THEN value * 2 END AS media_portugues, epoch_us(ts) AS evento_us
         FROM events""",
     "stream_summary": f"""
-        SELECT CAST(year(ts) AS INTEGER) AS ano, count(*) AS eventos, {_shown("avg(value)", "taxa_media")}
+        SELECT CAST(year(ts) - user_id % 3 AS INTEGER) AS ano, count(*) AS eventos, {_shown("avg(value)", "taxa_media")}
         FROM events GROUP BY 1""",
     "csv_fidelity": """
         SELECT CAST(doc_id AS VARCHAR) AS doc_id, md5(' "' || text || '", ' || chr(10)) AS text_md5,
@@ -312,7 +373,7 @@ ORACLE = {
         SELECT n_nationkey AS codigo_nacao, n_name AS nome_da_nacao, n_regionkey AS _regiao
         FROM nation""",
     "stream_incremental": """
-        SELECT CAST(user_id AS VARCHAR) AS id_municipio, CAST(year(ts) AS INTEGER) AS ano,
+        SELECT CAST(user_id AS VARCHAR) AS id_municipio, CAST(year(ts) - user_id % 3 AS INTEGER) AS ano,
                value AS taxa_alfabetizacao, epoch_us(ts) AS evento_us
         FROM events""",
     "stream_malformed": """
@@ -330,6 +391,34 @@ ORACLE = {
             ("prioridade", "TRUE", "double"),
         )
     ),
+    "raw_quarantine": f"""{_BROKEN}
+        SELECT CASE WHEN kind > 2 THEN ano END AS ano, CASE WHEN kind > 2 THEN id END AS id_municipio,
+               CASE WHEN kind > 2 THEN v END AS taxa_alfabetizacao, CASE WHEN kind > 2 THEN v END AS media_portugues,
+               CASE kind WHEN 0 THEN concat_ws(',', ano, id) WHEN 1 THEN concat_ws(',', ano, id, v, v, 'x')
+                         WHEN 2 THEN ano || ',"' || concat_ws(',', id, v, v) END AS linha
+        FROM lines""",
+    "load_losses": f"""{_BROKEN}, good AS (SELECT * FROM lines WHERE kind > 2), bad AS (SELECT * FROM lines WHERE kind <= 2)
+        """
+    + " UNION ALL ".join(
+        _row("tipagem", "municipio", f"rejeitados_{column}", n, f"{n} = 0", f"tipo={kind}", "good")
+        for column, n, kind in (
+            ("ano", "count(CASE WHEN o_orderstatus = 'P' THEN 1 END)", "int"),
+            ("taxa_alfabetizacao", "count(CASE WHEN try_cast(v AS DOUBLE) IS NULL THEN 1 END)", "double"),
+            ("media_portugues", "count(CASE WHEN try_cast(v AS DOUBLE) IS NULL THEN 1 END)", "double"),
+        )
+    )
+    + " UNION ALL "
+    + _row("carga", "municipio", "linhas_rejeitadas", "count(*)", "count(*) = 0", "largura diferente do cabecalho", "bad"),
+    "health_view": f"""{_relations(*_ALL, "report")}
+        SELECT 'carga' AS sinal, 'fato' AS alvo, CAST(count(*) AS DOUBLE) AS valor, 'ok' AS status
+        FROM fact_raw WHERE rede = '3-MEDIUM'
+        UNION ALL SELECT 'carga', 'alunos', CAST(count(*) AS DOUBLE), 'ok' FROM lineitem
+        UNION ALL SELECT 'carga', 'integrado', CAST(count(*) AS DOUBLE), 'ok' FROM integrated
+        UNION ALL SELECT 'qualidade', tabela || '.' || metrica, valor, status FROM report""",
+    "catalog_repointed": f"""{_relations(*_FACT)}
+        SELECT ano, id_entity, {_shown("taxa")}, 'plain' AS tabela FROM entity_fact
+        UNION ALL
+        SELECT ano, id_entity, {_shown("CASE ano WHEN 1997 THEN 2 * taxa ELSE taxa END", "taxa")}, 'by_year' FROM entity_fact""",
     "catalog_load": f"""{_relations("fact_raw")},
         counts AS (SELECT ano, count(DISTINCT id_entity) AS linhas FROM fact_raw WHERE rede = '3-MEDIUM' GROUP BY ano)
         SELECT * FROM counts UNION ALL SELECT * FROM counts""",
@@ -347,15 +436,27 @@ ORACLE = {
     "priority_list": f"""{_relations(*_ALL)}
         SELECT {_columns("ano, id_entity, sigla, regiao, atingiu_meta", "taxa", "meta_ano_corrente", "gap_meta")}
         FROM (SELECT * FROM integrated WHERE gap_meta IS NOT NULL ORDER BY gap_meta, ano, id_entity LIMIT 100)""",
-    "updates_applied": f"""
-        WITH fact AS (SELECT CAST(year(o_orderdate) + 23 AS INTEGER) AS ano, CAST(o_custkey AS VARCHAR) AS id_municipio,
-                             avg(o_totalprice) AS taxa, avg(o_totalprice * 2) AS media
-                      FROM orders GROUP BY 1, 2),
-             newest AS (SELECT CAST(user_id AS VARCHAR) AS id_municipio, year(ts) AS ano, arg_max(value, ts) AS taxa
-                        FROM events GROUP BY 1, 2)
+    "updates_applied": f"""{_UPDATED}
         SELECT f.ano, f.id_municipio, {_shown("coalesce(n.taxa, f.taxa)", "taxa_alfabetizacao")},
-               {_shown("f.media", "media_portugues")}
+               {_shown("coalesce(n.media, f.media)", "media_portugues")}
         FROM fact f LEFT JOIN newest n ON n.id_municipio = f.id_municipio AND n.ano = f.ano""",
+    "stream_absorbed": f"""{_UPDATED},
+        -- a measure that the newest event lacks keeps what the event before it set, if that came in an earlier drain
+        halves AS (SELECT CAST(user_id AS VARCHAR) AS id_municipio, {_YEAR} AS ano, ts, value,
+                          CASE WHEN event_id % 2 = 0 THEN value * 2 END AS media, minute(ts) % 2 + 1 AS drained
+                   FROM events),
+        latest AS (SELECT id_municipio, ano, drained, max(ts) AS ts, arg_max(value, ts) AS taxa,
+                          arg_max(struct_pack(m := media), ts).m AS media
+                   FROM halves GROUP BY ALL),
+        merged AS (SELECT coalesce(a.id_municipio, b.id_municipio) AS id_municipio, coalesce(a.ano, b.ano) AS ano,
+                          CASE WHEN b.ts >= a.ts OR a.ts IS NULL THEN b.taxa ELSE a.taxa END AS taxa,
+                          CASE WHEN b.ts >= a.ts OR a.ts IS NULL THEN coalesce(b.media, a.media) ELSE a.media END AS media
+                   FROM (SELECT * FROM latest WHERE drained = 1) a
+                   FULL JOIN (SELECT * FROM latest WHERE drained = 2) b USING (id_municipio, ano))
+        SELECT coalesce(f.ano, n.ano) AS ano, coalesce(f.id_municipio, n.id_municipio) AS id_municipio,
+               {_shown("coalesce(n.taxa, f.taxa)", "taxa_alfabetizacao")},
+               {_shown("coalesce(n.media, f.media)", "media_portugues")}
+        FROM fact f FULL JOIN merged n ON n.id_municipio = f.id_municipio AND n.ano = f.ano""",
     "networks_decoded": """
         SELECT CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'Federal' WHEN '2' THEN 'Estadual'
                     WHEN '3' THEN 'Municipal' WHEN '4' THEN 'Privada'

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,19 @@ from indicator_engine.functions import decode, flag_from_text, snake_columns, ty
 from indicator_engine.names import Names
 from indicator_engine.operators import quality as q
 from indicator_engine.session import shared_folder
-from indicator_engine.sinks import Table, append, audit_frame, ensure_schema, export_csv, land_raw, overwrite, publish
+from indicator_engine.sinks import (
+    REJECTED,
+    Table,
+    append,
+    audit_frame,
+    ensure_schema,
+    export_csv,
+    land_raw,
+    overwrite,
+    publish,
+    publish_partitions,
+    record,
+)
 from indicator_engine.sources import Extract, extract, read_raw, state_dimension
 from workload import relations as r
 
@@ -292,6 +306,41 @@ def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed.select("id_municipio", "ano", "taxa_alfabetizacao", F.unix_micros("evento_ts").alias("evento_us"))
 
 
+def stream_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON texts of a catalog table, drained into a catalog table after each of two appends."""
+    ensure_schema(spark, "stream_tables")
+    source, out = (Table(f"stream_tables.{kind}_{uuid.uuid4().hex}") for kind in ("lines", "landed"))
+    checkpoint = shared_folder(spark, "stream-from-table")
+    lines = r.event_json(spark, sf_dir).select(F.to_json(F.struct("*")).alias("value"))
+    for even in (True, False):
+        append(lines.where((F.crc32("value") % 2 == 0) == even), source, lines.schema)
+        landed = streaming.drain(streaming.read_event_table(spark, source), out, checkpoint)
+    return landed.select(
+        "id_municipio", "ano", "taxa_alfabetizacao", "media_portugues", F.unix_micros("evento_ts").alias("evento_us")
+    )
+
+
+def stream_absorbed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order means per customer and year, served by year, and the newest event of each absorbed in two drains.
+
+    A batch that comes again, with other measures, must change nothing.
+    """
+    ensure_schema(spark, "absorbed")
+    folder = shared_folder(spark, "stream-absorbed")
+    served = Table(f"absorbed.served_{uuid.uuid4().hex}", f"{folder}/served")
+    means = op.yearly_means(r.update_target(spark, sf_dir), "ano", ["id_municipio"], Names().measures)
+    publish(means.withColumn("evento_ts", F.lit(None).cast("timestamp")), served)
+    events = r.event_json(spark, sf_dir)
+    minute = F.substring("evento_ts", 15, 2).cast("int")
+    for half in (0, 1):  # neither half is older than the other
+        events.where(minute % 2 == half).write.mode("append").json(f"{folder}/in")
+        stream = streaming.stamp(streaming.read_events(spark, f"{folder}/in"))
+        streaming.absorb(stream, served, f"{folder}/checkpoint").awaitTermination()
+    again = streaming.stamp(events).withColumn("taxa_alfabetizacao", F.lit(-1.0))
+    streaming.absorb_batch(again, 0, served)
+    return r.show(served.read(spark, ["ano", "id_municipio", *Names().measures]), *Names().measures)
+
+
 def stream_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with text for a number, a bad time, or no JSON at all: nulls, never a lost row."""
     folder = shared_folder(spark, "stream-malformed")
@@ -314,6 +363,62 @@ def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.load_rejects({"orders": raw.read(spark)}, {"orders": {"ano": "int", "taxa": "double", "prioridade": "double"}})
 
 
+def raw_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the right width landed, the others in quarantine as they came."""
+    folder = shared_folder(spark, "raw-quarantine")
+    r.write_lines(r.broken_lines(spark, sf_dir), f"{folder}/csv")
+    landed, quarantine = Table(path=f"{folder}/bronze"), Table(path=f"{folder}/rejected")
+    land_raw(spark, f"{folder}/csv", landed, origin="orders.csv", quarantine=quarantine)
+    rows = read_raw(landed.read(spark))
+    rejected = quarantine.read(spark).select(F.col(REJECTED).alias("linha"))
+    return rows.unionByName(rejected, allowMissingColumns=True)
+
+
+def load_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the load's report says about lines of another width and values of no such type."""
+    folder = shared_folder(spark, "load-losses")
+    r.write_lines(r.broken_lines(spark, sf_dir), f"{folder}/raw/municipio.csv")
+    lake = plans.Lakehouse(spark, root=folder, catalog=False)
+    plans.land_all(lake, f"{folder}/raw", {"municipio.csv": "municipio"})
+    return plans.lost_by_load(lake)
+
+
+def health_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last of two loads of three tables and of two runs of the checks, from their histories."""
+    folder = shared_folder(spark, "health")
+    audits, checks = Table(path=f"{folder}/audits"), Table(path=f"{folder}/report")
+    names = ("fato", "alunos", "integrado")
+    fato, alunos, integrado = (Table(path=f"{folder}/{name}") for name in names)
+    for network in (r.REGION_NETWORK, r.NETWORK):
+        rows = r.fact_raw(spark, sf_dir).where(F.col("rede") == network)
+        done = [overwrite(rows, fato), publish(r.student_raw(spark, sf_dir), alunos)]
+        done.append(overwrite(_with_code(r.integrated(spark, sf_dir)), integrado))
+        record(spark, [replace(a, table=name) for a, name in zip(done, names)], audits)
+        report = _report(integrado.read(spark), r.dim_territory(spark, sf_dir))
+        append(q.stamped(report), checks, q.REPORT_SCHEMA)
+    return op.health(audits.read(spark), checks.read(spark)).drop("quando")
+
+
+def catalog_repointed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions of catalog tables: a write that breaks off leaves the rows, one year is replaced alone."""
+    ensure_schema(spark, "repointed")
+    folder = shared_folder(spark, "repointed")
+    plain, by_year = (Table(f"repointed.{k}_{uuid.uuid4().hex}", f"{folder}/{k}") for k in ("plain", "by_year"))
+    fact = r.entity_fact(spark, sf_dir).select("ano", "id_entity", "taxa")
+    for table, write in ((plain, overwrite), (by_year, publish)):
+        write(fact.where(F.col("ano") == 1996), table)
+        write(fact, table)
+        try:
+            write(fact.withColumn("taxa", F.raise_error(F.lit("cut off")).cast("double")), table)
+        except PySparkException as error:
+            if "cut off" not in str(error):
+                raise
+    doubled = by_year.read(spark).where(F.col("ano") == 1997).withColumn("taxa", F.col("taxa") * 2)
+    publish_partitions(doubled, by_year, [1997])
+    tables = [t.read(spark, fact.columns).withColumn("tabela", F.lit(k)) for t, k in ((plain, "plain"), (by_year, "by_year"))]
+    return r.show(reduce(DataFrame.unionByName, tables), "taxa")
+
+
 def catalog_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Schema, bucketed overwrite, append and read by catalog name."""
     ensure_schema(spark, "catalog_load")
@@ -354,8 +459,7 @@ def priority_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 def updates_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order means per customer, the last year overlaid by the newest event of the same number."""
     means = op.yearly_means(r.update_target(spark, sf_dir), "ano", ["id_municipio"], Names().measures)
-    events = r.event_json(spark, sf_dir).withColumn("media_portugues", F.lit(None).cast("double"))
-    return r.show(op.apply_updates(means, streaming.stamp(events)), *Names().measures)
+    return r.show(op.apply_updates(means, streaming.stamp(r.event_json(spark, sf_dir))), *Names().measures)
 
 
 def networks_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -378,30 +482,39 @@ def quality_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.quality_trend(history.read(spark)).drop("executado_em")
 
 
-# table of the layered load and the column its checksum adds up
+# table of the layered load and the columns whose checksums are taken
+RATES = ("taxa_alfabetizacao", "media_portugues")
 LOADED = {
+    "bronze": {
+        "municipio": ("ano", *RATES),
+        "uf": ("ano", *RATES),
+        "meta_alfabetizacao_municipio": ("ano", "meta_alfabetizacao_2025"),
+        "meta_alfabetizacao_uf": ("ano", "meta_alfabetizacao_2026"),
+        "meta_alfabetizacao_brasil": ("ano", "meta_alfabetizacao_2030"),
+        "alunos": ("ano", "proficiencia"),
+    },
     "silver": {
-        "dim_uf": None,
-        "fato_municipio": "taxa_alfabetizacao",
-        "fato_uf": "taxa_alfabetizacao",
-        "meta_municipio_long": "meta_taxa",
-        "meta_uf_long": "meta_taxa",
-        "meta_brasil_long": "meta_taxa",
-        "municipio_ano_integrada": "gap_meta",
-        "indicador_alunos_municipio": "proficiencia_media",
+        "dim_uf": ("codigo_uf",),
+        "fato_municipio": ("ano", *RATES),
+        "fato_uf": ("ano", *RATES),
+        "meta_municipio_long": ("ano_meta", "meta_taxa"),
+        "meta_uf_long": ("ano_meta", "meta_taxa"),
+        "meta_brasil_long": ("ano_meta", "meta_taxa"),
+        "municipio_ano_integrada": ("ano", *RATES, "meta_ano_corrente", "gap_meta", "atingiu_meta"),
+        "indicador_alunos_municipio": ("qtd_alunos_amostra", "proficiencia_media", "prop_alfabetizado_amostra"),
     },
     "gold": {
-        "indicador_por_municipio": "taxa_alfabetizacao",
-        "meta_versus_resultado": "gap_meta",
-        "evolucao_temporal": "variacao",
-        "resumo_por_uf": "qtd_municipios",
-        "relatorio_qualidade": "valor",
+        "indicador_por_municipio": ("ano", *RATES, "gap_meta"),
+        "meta_versus_resultado": ("taxa_alfabetizacao", "meta_ano_corrente", "gap_meta", "atingiu_meta"),
+        "evolucao_temporal": ("taxa_alfabetizacao", "taxa_ano_anterior", "variacao"),
+        "resumo_por_uf": ("ano", "qtd_municipios"),
+        "relatorio_qualidade": ("valor",),
     },
 }
 
 
 def layered_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Six sources through extraction and all layers; rows and a checksum of every table written."""
+    """Six sources through extraction and all layers; rows and checksums of every table written."""
     root = shared_folder(spark, "layers")
     plans.extract_all(spark, r.load_sources(spark, sf_dir), f"{root}/raw", r.LOAD_EXTRACTS)
     lake = plans.Lakehouse(spark, root=root, catalog=False)
@@ -410,16 +523,18 @@ def layered_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     plans.load_gold(lake)
     plans.run_quality(lake)
 
-    def checksum(layer: str, name: str, column: str | None) -> DataFrame:
-        rows = lake.read(layer, name)
-        total = F.lit(None) if column is None else F.sum(F.col(column).cast("decimal(28,8)"))
-        return rows.agg(
-            F.lit(f"{layer}.{name}").alias("tabela"),
-            F.count(F.lit(1)).alias("linhas"),
-            F.round(total.cast("decimal(38,8)"), 2).cast("double").alias("soma"),
+    def checksums(layer: str, name: str, columns: tuple[str, ...]) -> DataFrame:
+        sums = (
+            F.struct(
+                F.lit(c).alias("coluna"),
+                F.round(F.sum(F.col(c).cast("decimal(28,8)")).cast("decimal(38,8)"), 2).cast("double").alias("soma"),
+            )
+            for c in columns
         )
+        told = lake.read(layer, name).agg(F.count(F.lit(1)).alias("linhas"), F.array(*sums).alias("somas"))
+        return told.select(F.lit(f"{layer}.{name}").alias("tabela"), "linhas", F.inline("somas"))
 
-    parts = [checksum(layer, *item) for layer, tables in LOADED.items() for item in tables.items()]
+    parts = [checksums(layer, *item) for layer, tables in LOADED.items() for item in tables.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -465,6 +580,12 @@ QUERIES = {
         stream_incremental,
         stream_malformed,
         load_rejects,
+        raw_quarantine,
+        load_losses,
+        health_view,
+        stream_from_table,
+        stream_absorbed,
+        catalog_repointed,
         catalog_load,
         layered_load,
         indicator_from_scores,

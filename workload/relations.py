@@ -228,12 +228,16 @@ def student_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events in the fields of the stream schema; time as ISO text with offset."""
+    """Events of three years in the fields of the stream schema; time as ISO text with offset.
+
+    Every other event lacks the second measure.
+    """
     ts = F.col("ts")
     return table(spark, sf_dir, "events").select(
         F.col("user_id").cast("string").alias("id_municipio"),
-        F.year(ts).alias("ano"),
+        (F.year(ts) - F.col("user_id") % 3).cast("int").alias("ano"),
         F.col("value").alias("taxa_alfabetizacao"),
+        F.when(F.col("event_id") % 2 == 0, F.col("value") * 2).alias("media_portugues"),
         F.concat(F.regexp_replace(ts.cast("string"), " ", "T"), F.lit("+00:00")).alias("evento_ts"),
     )
 
@@ -246,3 +250,29 @@ def update_target(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_totalprice AS taxa_alfabetizacao",
         "o_totalprice * 2 AS media_portugues",
     )
+
+
+LINE_HEADER = "ano,id_municipio,taxa_alfabetizacao,media_portugues"
+
+
+def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as lines of a CSV file; of seven one is short, one long, one has an open quote.
+
+    Orders in status P write their year as ``1998.0``, which is no integer.
+    """
+    year = F.year("o_orderdate").cast("string")
+    year = F.when(F.col("o_orderstatus") == "P", F.concat(year, F.lit(".0"))).otherwise(year)
+    key, price = F.col("o_custkey").cast("string"), F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    kind = F.col("o_orderkey") % 7
+    line = (
+        F.when(kind == 0, F.concat_ws(",", year, key))
+        .when(kind == 1, F.concat_ws(",", year, key, price, price, F.lit("x")))
+        .when(kind == 2, F.concat(year, F.lit(',"'), key, F.lit(","), price, F.lit(","), price))
+        .otherwise(F.concat_ws(",", year, key, price, price))
+    )
+    return table(spark, sf_dir, "orders").select(line.alias(LINE_HEADER))
+
+
+def write_lines(lines: DataFrame, path: str) -> None:
+    """Text lines below a header, as they are: no value of theirs is quoted."""
+    lines.write.option("header", True).option("sep", "\x01").option("quote", "").csv(path)
