@@ -30,7 +30,7 @@ TREES, DEPTH, RATE, BINS = 60, 5, 0.3, 24
 SLAB = 500
 
 # ---- Fixed values: kinds of HTML elements
-RAW = {"script", "style", "title", "textarea", "iframe", "noembed", "noframes", "noscript", "template", "svg", "math"}
+RAW = {"script", "style", "title", "textarea", "iframe", "noembed", "noframes", "noscript", "template", "svg"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 BLOCK = {
     "address", "article", "aside", "blockquote", "body", "button", "caption", "center", "dd", "details", "dialog", "dir",
@@ -49,7 +49,9 @@ SCOPE = {"ul", "ol", "dl", "table", "select", "html", "body", "td", "th"}
 _TOKEN = re.compile(
     r"<!--(?:-?>|.*?(?:--!?>|\Z))"
     r"|<[!?][^>]*(?:>|\Z)"
-    r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:"[^"]*"|'[^']*'|[^>"'])*+)(?P<close>>|\Z)"""
+    # a quote opens a value only after "="; elsewhere it is a character like any other
+    r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)"""
+    r"""(?P<attrs>(?:[^>=]++|=(?!\s*["'])|=\s*"[^"]*"|=\s*'[^']*')*+)(?P<close>>|\Z)"""
     r"|</?[a-zA-Z].*"  # a quote that never closes takes the rest
     r"|</[^>]*(?:>|\Z)"
     r"|(?P<text><?[^<]*)",
@@ -140,7 +142,10 @@ def parse(page: str) -> list[Node]:
             continue
         if tag in RAW:
             stop = _RAW_END[tag].search(page, pos)
-            pos = stop.start() if stop else size
+            if tag != "svg":
+                pos = stop.start() if stop else size
+            elif stop and not m["attrs"].endswith("/"):  # a drawing may be empty, and ends with what is no drawing
+                pos = stop.start()
         elif tag == "a":
             in_link = 1
         elif tag == "br":
