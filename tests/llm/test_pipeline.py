@@ -3,6 +3,10 @@ from __future__ import annotations
 import re
 from collections import Counter
 
+import public_tokenizers
+import sentencepiece
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tests.llm.test_documents import brute_components
 from indicator_engine.llm.language_id import has_letter
@@ -39,9 +43,33 @@ def test_stages_on_awkward_rows(spark, awkward, awkward_rows, tmp_path):
             assert "text" not in after.columns and {"piece_ids", "piece_scores"} <= {*after.columns}
 
 
+def test_stages_keep_the_values_of_all_columns(spark, awkward):
+    """Columns named like those an operator adds keep their own values."""
+    own = ("score", "kept", "group_size", "keep_id", "lang_pred", "text_sha256", "_near_row", "_id", "component_id")
+    docs = awkward.withColumns({c: F.lit(f"own {c}") for c in own})
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        docs = stage(spark, docs, "")
+        rows = docs.select(*own).distinct().collect()
+        assert [tuple(r) for r in rows] == [tuple(f"own {c}" for c in own)]
+
+
 def test_run(spark, small):
-    rows = corpus_pipeline.run(spark, small)
-    assert rows.count() > 0
+    """All stages in a row against plain ones: which documents are left, how often, and their encoding."""
+    table = spark.read.parquet(f"{small}/documents.parquet").collect()
+    left = {r.doc_id: (r.text or "", r.source) for r in table if has_letter(r.text)}
+    assert len({r.doc_id for r in table}) == len(table)
+    least = {}
+    for i, (t, _) in left.items():
+        norm = re.sub(r"[\x20\x09-\x0D]+", " ", t)
+        least[norm] = min(least.get(norm, i), i)
+    texts = [(i, left[i][0]) for i in sorted(least.values())]
+    kept = [i for i, _, _, stays in brute_components(texts, 5, 80) if stays]
+    frame = spark.createDataFrame([(i, *left[i]) for i in kept], "doc_id long, text string, source string")
+    times = {r.doc_id: -(-r.taken // r["size"]) for r in mix(frame).collect() if r["size"]}
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    rows = corpus_pipeline.run(spark, small).select("doc_id", "piece_ids").collect()
+    assert Counter(r.doc_id for r in rows) == +Counter(times)
+    assert all(list(r.piece_ids) == model.encode(left[r.doc_id][0]) for r in rows)
 
 
 def test_empty_table(spark, nothing):
