@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -72,6 +74,30 @@ def written(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def worker_wide(name: str, make: Callable, group: str | None = None):
+    """A value that later tasks of the same Python worker find again.
+
+    A worker holds the values of one group (by default the name is one): those of
+    another stage or model go when a task asks for the first of its own.
+    """
+    holder = _of_group(group or name)
+    if name not in holder:
+        holder[name] = make()
+    return holder[name]
+
+
+def release_worker_values() -> None:
+    """For tasks that hold none: let go of what tasks of other stages have left in this worker."""
+    _of_group("")
+
+
+def _of_group(group: str) -> dict:
+    holder = vars(sys.modules.setdefault("corpus_worker_values", types.ModuleType("corpus_worker_values")))
+    if holder.get("group") != group:
+        holder["group"], holder["values"] = group, {}
+    return holder["values"]
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """The batches in smaller parts, so that what is made of a part stays small."""
     for batch in batches:

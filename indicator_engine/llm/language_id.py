@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from indicator_engine.llm.common import pack, slices, text_bytes, unpack
+from indicator_engine.llm.common import pack, release_worker_values, slices, text_bytes, unpack
 
 DIMS = 4096
 PER_LANGUAGE = 300
@@ -208,6 +208,7 @@ def identify(docs: DataFrame, model: Model | None, text_column: str = "text") ->
     schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker_values()
         for batch in slices(batches):
             column = batch.column(at).cast(pa.large_string())
             letters = [has_letter(t) for t in column.to_pylist()]

@@ -13,7 +13,7 @@ from indicator_engine.llm.language_id import identify, learn
 from indicator_engine.llm.mixing import mix
 from indicator_engine.llm.near_dedup import near_groups
 from indicator_engine.llm.neighbours import nearest
-from indicator_engine.llm.sentence_pieces import decode, segment
+from indicator_engine.llm.sentence_pieces import segment
 from indicator_engine.llm.substring_dedup import remove_repeats
 from indicator_engine.llm.token_counts import count_tokens
 from indicator_engine.llm.token_output import token_files
@@ -53,7 +53,7 @@ def op5_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    pieces = decode(segment(docs, path, alternatives=True, encoded=True), path, "encoded_ids")
+    pieces = segment(docs, path, alternatives=True, encoded=True, decoded=True)
     return pieces.select(
         "doc_id",
         F.size("encoded_ids").cast("long").alias("n_pieces"),

@@ -23,6 +23,7 @@ library's own encoding, also word by word: no merge crosses the start of a word.
 from __future__ import annotations
 
 import heapq
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,12 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from indicator_engine.llm.common import slices
-from indicator_engine.llm.token_counts import Memo, by_bytes, worker_wide
+from indicator_engine.llm.common import slices, worker_wide
+from indicator_engine.llm.token_counts import Memo, by_bytes
 
 N_BEST = 4
 SIGN = "▁"
-MEMO_WORDS = 160_000
+MEMO_WORDS = 60_000
 UNKNOWN_PENALTY = 10.0
 #: characters of words solved side by side
 _SLAB = 1 << 16
@@ -67,6 +68,8 @@ class Pieces:
         self.bytes_at = np.zeros(self.size, bool)
         self.bytes_at[list(self.of_byte)] = True
         self.unknown_id = model.unk_id()
+        sign = model.piece_to_id(SIGN)
+        self.lone = [sign] if sign != self.unknown_id else self.unknown_ids(ord(SIGN))
         self.unknown = float(self.score[plain].min()) - UNKNOWN_PENALTY if plain else -UNKNOWN_PENALTY
         self.longest = max((len(self.text[i]) for i in plain), default=1)
         edges: dict[int, int] = {}
@@ -166,8 +169,8 @@ class Pieces:
                 np.copyto(size[end], length, where=better)
         return best, size
 
-    def solve(self, words: list[str]) -> list[tuple[bytes, float, float]]:
-        """Ids of the best segmentation, its score, and the gap to the second best (infinite if there is none)."""
+    def _slabs(self, words: list[str], work) -> list:
+        """What ``work`` gives for each word, words of like length going together."""
         out: list = [None] * len(words)
         order = sorted(range(len(words)), key=lambda i: len(words[i]))
         at = 0
@@ -175,11 +178,15 @@ class Pieces:
             last = at + 1
             while last < len(order) and (last + 1 - at) * len(words[order[last]]) <= _SLAB:
                 last += 1
-            for i, solved in zip(order[at:last], self._solve([words[i] for i in order[at:last]])):
+            for i, solved in zip(order[at:last], work([words[i] for i in order[at:last]])):
                 out[i] = solved
             at = last
         return out
 
+    def solve(self, words: list[str]) -> list[tuple[bytes, float, float]]:
+        """Ids of the best segmentation, its score, and the gap to the second best (infinite if there is none)."""
+        return self._slabs(words, self._solve)
+
     def _solve(self, words: list[str]) -> list[tuple[bytes, float, float]]:
         chars, score, piece = self.lattices(words)
         longest, width, n = score.shape
@@ -227,21 +234,33 @@ class Pieces:
         """Ids of each word in the library's own encoding."""
         # the library puts the first sign in front itself, but not before an empty text
         got = self.library.encode([w[1:].replace(SIGN, " ") for w in words])
-        sign = self.library.piece_to_id(SIGN)
-        lone = [sign] if sign != self.unknown_id else self.unknown_ids(ord(SIGN))
-        return [np.array(lone if w == SIGN else ids, "<i4").tobytes() for w, ids in zip(words, got)]
+        return [array("i", self.lone if w == SIGN else ids).tobytes() for w, ids in zip(words, got)]
 
-    # ---- one word
+    def solve_and_encode(self, words: list[str]) -> list[tuple[bytes, float, float, bytes]]:
+        return [(*solved, ids) for solved, ids in zip(self.solve(words), self.encode(words))]
 
     def n_best(self, word: str, n: int) -> list[tuple[float, list[int]]]:
         """The n best segmentations of a word, best first: A* from its end."""
-        chars, score, piece = self.lattices([word])
-        best = self.forward(score)[0][:, 0].tolist()
-        into: list[list[tuple[int, int, float]]] = [[] for _ in range(len(word) + 1)]
-        for k, start in zip(*np.nonzero(score[:, :, 0] > _NO)):
-            into[start + k + 1].append((int(start), int(piece[k, start, 0]), float(score[k, start, 0])))
+        return self.n_best_of([word], n)[0]
+
+    def n_best_of(self, words: list[str], n: int) -> list[list[tuple[float, list[int]]]]:
+        """The same of several words, whose lattices are made side by side."""
+
+        def work(part: list[str]) -> list[list[tuple[float, list[int]]]]:
+            chars, score, piece = self.lattices(part)
+            best = self.forward(score)[0].T.tolist()
+            into: list[list[list]] = [[[] for _ in range(len(w) + 1)] for w in part]
+            size, start, column = np.nonzero(score > _NO)
+            pieces, scores = piece[size, start, column].tolist(), score[size, start, column].tolist()
+            for k, at, j, p, s in zip(size.tolist(), start.tolist(), column.tolist(), pieces, scores):
+                into[j][at + k + 1].append((at, p, s))
+            return [self._search(len(w), best[j], into[j], chars[:, j], n) for j, w in enumerate(part)]
+
+        return self._slabs(words, work)
+
+    def _search(self, length: int, best: list, into: list, chars: np.ndarray, n: int) -> list[tuple[float, list[int]]]:
         # of equal hopes the one nearer the start goes first, so ties end soon
-        agenda = [(-best[len(word)], len(word), 0, 0.0, None)]
+        agenda = [(-best[length], length, 0, 0.0, None)]
         out: list[tuple[float, list[int]]] = []
         pushed = 0
         while agenda and len(out) < n:
@@ -250,7 +269,7 @@ class Pieces:
                 ids: list[int] = []
                 while path is not None:
                     start, p, path = path
-                    ids += [p] if p >= 0 else self.unknown_ids(int(chars[start, 0]) - 1)
+                    ids += [p] if p >= 0 else self.unknown_ids(int(chars[start]) - 1)
                 out.append((done, ids))
                 continue
             for start, p, s in into[end]:
@@ -306,11 +325,13 @@ def segment(
     text_column: str = "text",
     alternatives: bool = False,
     encoded: bool = False,
+    decoded: bool = False,
 ) -> DataFrame:
     """The rows of ``docs`` with ``piece_ids`` (best segmentation) and ``piece_scores`` (of the n best, best first).
 
     With ``alternatives`` also ``piece_alternatives``, the ids of all n; with ``encoded``
-    also ``encoded_ids``, what the model's library encodes the text to.  Null and empty
+    also ``encoded_ids``, what the model's library encodes the text to, and with ``decoded``
+    the text of these (else of the best) ids, as ``decode`` gives it.  Null and empty
     texts have no pieces and one segmentation, of score 0.  Null ids, repeated rows and
     empty tables pass through; columns of the new names are replaced.
     """
@@ -319,6 +340,8 @@ def segment(
         new["piece_alternatives"] = T.ArrayType(T.ArrayType(T.IntegerType()))
     if encoded:
         new["encoded_ids"] = T.ArrayType(T.IntegerType())
+    if decoded:
+        new["decoded"] = T.StringType()
     keep = [c for c in docs.columns if c not in new]
     at = keep.index(text_column)
     schema = docs.select(*keep).schema
@@ -326,10 +349,11 @@ def segment(
         schema = schema.add(name, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = worker_wide(f"pieces {path}", lambda: Pieces(path))
-        memo = Memo(model.solve, MEMO_WORDS, f"best {path}")
-        several = Memo(lambda words: [model.n_best(w, n_best) for w in words], MEMO_WORDS // 20, f"{n_best} best {path}")
-        merged = Memo(model.encode, MEMO_WORDS // 8, f"encoded {path}")
+        group = f"pieces {path}"
+        model = worker_wide(group, lambda: Pieces(path), group)
+        # one look-up a word: its encoding is worked out and held with its best segmentation
+        memo = Memo(model.solve_and_encode if encoded else model.solve, MEMO_WORDS, f"best {encoded}", group)
+        several = Memo(lambda words: model.n_best_of(words, n_best), MEMO_WORDS // 20, f"{n_best} best", group)
         for batch in slices(batches, 250 if alternatives else 1000):
             ids: list[bytes] = []
             library: list[bytes] = []
@@ -338,21 +362,23 @@ def segment(
             counts: list[int] = []
             for group in by_bytes(batch.column(at).cast(pa.string()).to_pylist()):
                 parts = [words_of(t) for t in group]
-                every = set().union(*parts)
-                if encoded:
-                    cut = merged.of(every)
-                    library += [b"".join(map(cut.__getitem__, own)) for own in parts]
-                known = memo.of(every)
+                known = memo.of(set().union(*parts))
+                solved = []
                 for own in parts:
-                    data, each, gaps = zip(*map(known.__getitem__, own)) if own else ((), (), ())
+                    data, each, gaps, *cut = zip(*map(known.__getitem__, own)) if own else ((), (), (), ())
                     ids.append(b"".join(data))
+                    if encoded:
+                        library.append(b"".join(cut[0]))
                     loose = _smallest(np.fromiter(gaps, np.float64, len(gaps)), n_best - 1)
-                    picked = several.of({own[i] for i in loose})
-                    sums = _best_sums([picked[own[i]] for i in loose], n_best)
                     fixed = sum(each) - sum(each[i] for i in loose)
+                    solved.append((data, [own[i] for i in loose], loose, fixed))
+                picked = several.of({word for _, words, _, _ in solved for word in words})
+                for data, words, loose, fixed in solved:
+                    choices = [picked[word] for word in words]
+                    sums = _best_sums(choices, n_best)
                     scores.append([fixed + s for s, _ in sums])
                     if alternatives:
-                        others += [_replaced(data, loose, [picked[own[i]][c][1] for i, c in zip(loose, chosen)]) for _, chosen in sums]
+                        others += [_replaced(data, loose, [c[i][1] for c, i in zip(choices, chosen)]) for _, chosen in sums]
                         counts.append(len(sums))
             columns = [_id_lists(ids), pa.array(scores, pa.list_(pa.float64()))]
             if alternatives:
@@ -360,6 +386,9 @@ def segment(
                 columns.append(pa.ListArray.from_arrays(pa.array(ends), _id_lists(others)))
             if encoded:
                 columns.append(_id_lists(library))
+            if decoded:
+                flat = [np.frombuffer(i, "<i4") for i in (library if encoded else ids)]
+                columns.append(pa.array([model.decode(i) for i in flat], pa.string()))
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*keep, *new])
 
     return docs.select(*keep).mapInArrow(run, schema)

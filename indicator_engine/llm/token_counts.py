@@ -1,17 +1,16 @@
 """Token counts of whole texts with a public tokenizer.
 
 Texts are cut where no token can cross: before a single space between two characters
-that are not white space.  The pieces of a batch, balanced by bytes, are looked up in
-a bounded memo of the worker; only pieces not in it go to the tokenizer, in one batch
-call that returns lengths.  Texts of any length therefore cost one batch of memory.
+that are not white space.  The pieces of a batch of texts are looked up in a bounded memo
+of the worker, which holds lengths; pieces not in it are cut into words, and each word
+not met before goes to the tokenizer's model.  (The library's own batch call takes a third
+longer for the same words.)  Texts of any length therefore cost one batch of memory.
 """
 
 from __future__ import annotations
 
 import os
 import re
-import sys
-import types
 from array import array
 from collections.abc import Callable, Iterator
 
@@ -20,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indicator_engine.llm.common import slices
+from indicator_engine.llm.common import slices, worker_wide
 
 BATCH_BYTES = 4 << 20
 MEMO_PIECES = 350_000
@@ -85,7 +84,7 @@ class Tokenizer:
         byte_level = kind.get("type") == "ByteLevel" and kind.get("use_regex", True) and not kind.get("add_prefix_space", True)
         self.cut = byte_level and said.get("normalizer") is None
         self.words = regex.compile(BYTE_LEVEL_WORDS).findall
-        self.known = worker_wide(f"words {path}", dict)
+        self.known: dict[str, bytes] = {}
 
     def pieces(self, wanted: list[str]) -> list[bytes]:
         """Ids of each piece as unsigned 32-bit integers; words met before are not encoded again."""
@@ -104,14 +103,6 @@ class Tokenizer:
         return out
 
 
-def worker_wide(name: str, make: Callable):
-    """A value that later tasks of the same Python worker find again."""
-    holder = sys.modules.setdefault("corpus_worker_values", types.ModuleType("corpus_worker_values"))
-    if name not in vars(holder):
-        setattr(holder, name, make())
-    return getattr(holder, name)
-
-
 class Memo:
     """Values of pieces, computed in batches by ``encode``.
 
@@ -120,10 +111,16 @@ class Memo:
     piece and on what ``name`` says only.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list], limit: int = MEMO_PIECES, name: str | None = None):
+    def __init__(
+        self,
+        encode: Callable[[list[str]], list],
+        limit: int = MEMO_PIECES,
+        name: str | None = None,
+        group: str | None = None,
+    ):
         self.encode, self.limit = encode, limit
         both = lambda: [{}, {}]
-        self.both = both() if name is None else worker_wide(f"memo of {name}", both)
+        self.both = both() if name is None else worker_wide(f"memo of {name}", both, group)
 
     def of(self, wanted: set[str]) -> dict:
         missing = wanted.difference(self.both[0])
@@ -157,8 +154,9 @@ def count_tokens(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = worker_wide(f"tokenizer {path}", lambda: Tokenizer(path))
-        memo = Memo(lambda parts: [len(ids) // 4 for ids in tokenizer.pieces(parts)], name=f"lengths {path}")
+        group = f"lengths {path}"
+        tokenizer = worker_wide(path, lambda: Tokenizer(path), group)
+        memo = Memo(lambda parts: [len(ids) // 4 for ids in tokenizer.pieces(parts)], name=path, group=group)
         for batch in slices(batches):
             sizes: list[int] = []
             counts: list[int] = []

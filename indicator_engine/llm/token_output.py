@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from indicator_engine.llm.common import pack, parts_for, slices, unpack
-from indicator_engine.llm.token_counts import Memo, Tokenizer, by_bytes, pieces, worker_wide
+from indicator_engine.llm.common import pack, parts_for, slices, unpack, worker_wide
+from indicator_engine.llm.token_counts import Memo, Tokenizer, by_bytes, pieces
 from indicator_engine.session import shared_folder
 
 SCALE = 20
@@ -121,8 +121,9 @@ def token_ids(docs: DataFrame, path: str, end_id: int, id_column: str, text_colu
     """``_id``, number of ids, ids as unsigned 32-bit integers (compressed); null text is empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = worker_wide(f"tokenizer {path}", lambda: Tokenizer(path))
-        memo = Memo(tokenizer.pieces, name=f"ids {path}")
+        group = f"ids {path}"
+        tokenizer = worker_wide(path, lambda: Tokenizer(path), group)
+        memo = Memo(tokenizer.pieces, name=path, group=group)
         end = np.array([end_id], "<u4").tobytes()
         for batch in slices(batches):
             sizes, data = [], []
