@@ -323,7 +323,8 @@ def near_groups(
         "near-signatures",
     )
     known = signed.where("_n > 0 AND _id IS NOT NULL")
-    reps = known.groupBy("_one", "_two").agg(F.min("_id").alias("_rep"))
+    # written, so that the join has a stage of its own, which adaptive execution splits where many rows are copies
+    reps = written(spark, known.groupBy("_one", "_two").agg(F.min("_id").alias("_rep")), "near-representatives")
     members = written(spark, known.select("_id", "_n", "_one", "_two").join(reps, ["_one", "_two"]), "near-members")
 
     band_rows = signed.where("_keys IS NOT NULL").select("_id", "_keys").mapInArrow(_band_rows, "_key long, _id long")
