@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from indicator_engine.llm.components import components
 from indicator_engine.llm.exact_dedup import exact_dedup
 from indicator_engine.llm.language_id import Model, features, fit_svm, has_letter, identify, learn
-from indicator_engine.llm.mixing import mix, mixed_documents
+from indicator_engine.llm.mixing import bucket_digits, mix, mixed_documents
 from indicator_engine.llm.near_dedup import near_groups
 from indicator_engine.llm.queries import ORACLE, QUERIES
 from indicator_engine.llm.sentence_pieces import Pieces, decode, segment, words_of
@@ -176,6 +176,26 @@ def test_mixed_documents_come_once_per_pass(awkward):
     assert Counter(r.doc_id for r in mixed.select("doc_id").collect()) == +times
 
 
+def test_mixtures_are_range_sorted_and_come_again(spark):
+    """Two sources of one size tie at all times, and rows with one id have several texts."""
+    rows = [(i % 40, " ".join(f"v{i}"[: 2 + i % 2] for _ in range(3)), s) for i in range(60) for s in ("a", "b")]
+    rows += [(100 + i, " ", "a") for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    told = [r.position for r in mix(frame.repartition(3)).collect()]
+    assert told[:60] == [None] * 60 and told[60:] == sorted(told[60:])
+    once = [tuple(r) for r in mixed_documents(frame.repartition(3), ramps=(0.0,)).collect()]
+    assert once == [tuple(r) for r in mixed_documents(frame.repartition(7), ramps=(0.0,)).collect()]
+    plan = mix(frame)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(_at" in plan and "Python" not in plan and "Arrow" not in plan
+
+
+def test_buckets_of_a_source_grow_with_the_input(spark, monkeypatch, awkward):
+    assert [bucket_digits(s) for s in (None, 0, 10**12, 2 * 10**12, 10**14)] == [3, 3, 3, 4, 5]
+    plain = rows_of(mix(awkward), "doc_id", "taken", "position")
+    monkeypatch.setattr("indicator_engine.llm.mixing.bucket_digits", lambda size: 1)
+    assert rows_of(mix(awkward), "doc_id", "taken", "position") == plain
+
+
 # ---- language ----------------------------------------------------------------
 
 
