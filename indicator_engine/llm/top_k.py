@@ -9,8 +9,10 @@ complemented slices and a constant.  The k best rows are chosen from the most
 significant slice of the sum downward; rows tied at the boundary are resolved by
 smaller id, and the chosen rows are scored again from the integers.
 
-Segments hold ``SEGMENT_ROWS`` rows and queries come in blocks of ``BLOCK``, so a task
-sees one segment and one block whatever the size of either table.
+Segments hold ``SEGMENT_ROWS`` rows and queries come in blocks of ``BLOCK``.  A segment is
+sent once for every ``SPAN`` blocks, and the blocks follow it as rows sorted behind it: its
+bitmaps are made once and the blocks stream past them, so memory holds one segment and a
+few blocks whatever the size of either table, and a task's work is bounded too.
 """
 
 from __future__ import annotations
@@ -23,10 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from indicator_engine.llm.common import pack, unpack
+from indicator_engine.llm.common import pack, slices, unpack
 
 SEGMENT_ROWS = 16_384
 BLOCK = 512
+#: blocks that one copy of a segment answers
+SPAN = 16
 SCALE = 256
 
 _SEGMENT = "_segment long, _ids binary, _width int, _values binary"
@@ -168,31 +172,39 @@ def top_k(
     def packed(frame: DataFrame, parts: int, salt: int) -> DataFrame:
         return dealt(frame, parts, salt).groupBy("_segment").applyInArrow(_segments, _SEGMENT)
 
-    index = packed(rows, n_segments, 1).withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    blocks = packed(asked, n_blocks, 2).toDF("_block", "_q_ids", "_q_width", "_q_values")
-    blocks = blocks.withColumn("_segment", F.explode(F.sequence(F.lit(0), F.lit(n_segments - 1))))
-    pairs = index.withColumn("_block", F.col("_block").cast("long")).join(
-        blocks.withColumn("_segment", F.col("_segment").cast("long")), ["_segment", "_block"]
-    )
+    def numbers(n: int):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+    # a segment has block -1, so that it stands before the blocks of its span
+    n_spans = -(-n_blocks // SPAN)
+    index = packed(rows, n_segments, 1).withColumns({"_span": numbers(n_spans), "_block": F.lit(-1).cast("long")})
+    blocks = packed(asked, n_blocks, 2).withColumnsRenamed({"_segment": "_block"})
+    blocks = blocks.withColumn("_span", F.floor(F.col("_block") / SPAN)).withColumn("_segment", numbers(n_segments))
+    # few keys of much work each: more partitions than keys, and none put together by their size
+    parts = max(int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_segments * n_spans)
+    dealt_out = index.unionByName(blocks).repartition(parts, "_segment", "_span")
+    stream = dealt_out.sortWithinPartitions("_segment", "_span", "_block")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for p in batch.to_pylist():
-                ids, q_ids = unpack(p["_ids"], np.int64), unpack(p["_q_ids"], np.int64)
-                part = Slices(ids, unpack(p["_values"], np.int64).reshape(len(ids), p["_width"]))
-                asked = unpack(p["_q_values"], np.int64).reshape(len(q_ids), p["_q_width"])
-                found = [(i, *part.best(q, k, i)) for i, q in zip(q_ids, asked)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.repeat([f[0] for f in found], [len(f[1]) for f in found]), pa.int64()),
-                        pa.array(np.concatenate([part.ids[f[1]] for f in found]), pa.int64()),
-                        pa.array(np.concatenate([f[2] for f in found]), pa.int64()),
-                    ],
-                    names=["query_id", "vec_id", "score"],
-                )
-
-    best = pairs.select("_ids", "_width", "_values", "_q_ids", "_q_width", "_q_values").mapInArrow(
-        search, "query_id long, vec_id long, score long"
-    )
+        part = held = None
+        for p in (p for batch in slices(batches, 1) for p in batch.to_pylist()):
+            ids = unpack(p["_ids"], np.int64)
+            values = unpack(p["_values"], np.int64).reshape(len(ids), p["_width"])
+            if p["_block"] < 0:
+                part, held = Slices(ids, values), (p["_segment"], p["_span"])
+                continue
+            if held != (p["_segment"], p["_span"]):
+                continue  # a segment without rows
+            found = [(i, *part.best(q, k, i)) for i, q in zip(ids, values)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.repeat([f[0] for f in found], [len(f[1]) for f in found]), pa.int64()),
+                    pa.array(np.concatenate([part.ids[f[1]] for f in found]), pa.int64()),
+                    pa.array(np.concatenate([f[2] for f in found]), pa.int64()),
+                ],
+                names=["query_id", "vec_id", "score"],
+            )
+
+    best = stream.mapInArrow(search, "query_id long, vec_id long, score long")
     ranked = best.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -32,6 +32,7 @@ def brute_top_k(rows, k):
 def test_top_k_of_awkward_vectors(spark, monkeypatch, segment_rows):
     monkeypatch.setattr(bsi, "SEGMENT_ROWS", segment_rows)
     monkeypatch.setattr(bsi, "BLOCK", 2)
+    monkeypatch.setattr(bsi, "SPAN", 3)
     rng = np.random.default_rng(1)
     rows = [(i, [float(x) for x in rng.normal(0, 1, 6).round(1)]) for i in range(201)]
     rows += [(300, None), (350, [1.0, None]), (400, [float("nan")]), (450, [float("inf"), 1.0]), (None, [1.0] * 6)]
