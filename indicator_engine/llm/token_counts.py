@@ -26,6 +26,7 @@ MEMO_PIECES = 350_000
 
 # How byte-level tokenizers cut a text into words, and the signs for bytes that do not print.
 BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+ASCII_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
 _PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _SHOWN = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 # ---- end of fixed values
@@ -84,22 +85,32 @@ class Tokenizer:
         byte_level = kind.get("type") == "ByteLevel" and kind.get("use_regex", True) and not kind.get("add_prefix_space", True)
         self.cut = byte_level and said.get("normalizer") is None
         self.words = regex.compile(BYTE_LEVEL_WORDS).findall
+        self.ascii_words = re.compile(ASCII_WORDS).findall
         self.known: dict[str, bytes] = {}
 
+    def ids(self, word: str) -> bytes:
+        """Ids of a word as unsigned 32-bit integers; words met before are not encoded again."""
+        ids = self.known.get(word)
+        if ids is None:
+            if word.isascii() and word.isprintable():
+                shown = word.replace(" ", _SHOWN[32])
+            else:
+                shown = word.encode("utf-8", "surrogatepass").decode("latin-1").translate(_SHOWN)
+            ids = self.known[word] = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+        return ids
+
     def pieces(self, wanted: list[str]) -> list[bytes]:
-        """Ids of each piece as unsigned 32-bit integers; words met before are not encoded again."""
+        """Ids of each piece; letters behind at most one space are one word, and need no look for words."""
         if len(self.known) > 2 * MEMO_PIECES:
             self.known.clear()
-        known, out = self.known, []
+        of, out = self.ids, []
         for piece in wanted:
-            own = []
-            for word in self.words(piece):
-                ids = known.get(word)
-                if ids is None:
-                    shown = word.encode("utf-8", "surrogatepass").decode("latin-1").translate(_SHOWN)
-                    ids = known[word] = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
-                own.append(ids)
-            out.append(b"".join(own))
+            if not piece.isascii():
+                out.append(b"".join(map(of, self.words(piece))))
+            elif piece.isalpha() or (piece[:1] == " " and piece[1:].isalpha()):
+                out.append(of(piece))
+            else:
+                out.append(b"".join(map(of, self.ascii_words(piece))))
         return out
 
 

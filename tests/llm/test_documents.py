@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -12,6 +13,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+import tokenizers
 from pyspark.sql import functions as F
 
 from indicator_engine.llm.components import components
@@ -22,7 +24,7 @@ from indicator_engine.llm.near_dedup import near_groups
 from indicator_engine.llm.queries import ORACLE, QUERIES
 from indicator_engine.llm.sentence_pieces import Pieces, decode, segment, words_of
 from indicator_engine.llm.substring_dedup import remove_repeats
-from indicator_engine.llm.token_counts import count_tokens, pieces
+from indicator_engine.llm.token_counts import Tokenizer, count_tokens, pieces
 from indicator_engine.llm.token_output import Coder, read_token_files, scaled, token_files, write_token_files
 from indicator_engine.session import shared_folder
 from tests.oracle_compare import connect, spark_rows, sql_rows
@@ -146,6 +148,17 @@ def test_exact_dedup(spark, awkward, awkward_rows, nothing):
     assert exact_dedup(spark, nothing).count() == 0
 
 
+def test_ascii_pieces_are_cut_as_the_library_cuts_them():
+    """All 128 characters, contractions, runs of white space, words met with and without a space."""
+    library, own = tokenizers.Tokenizer.from_file(BPE), Tokenizer(BPE)
+    signs = [*map(chr, range(128)), *("  \n'srvdltem" * 4)]
+    rng = random.Random(5)
+    for _ in range(20_000):
+        text = "".join(rng.choice(signs) for _ in range(rng.randint(0, 14)))
+        expected = np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert b"".join(own.pieces(pieces(text))) == expected, text
+
+
 # ---- mixing ------------------------------------------------------------------
 
 
