@@ -20,6 +20,9 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 #: statistics of this size are Spark's default for "not known", or a guess at a join
 UNKNOWN = 1 << 55
+
+#: stored input beyond which pieces that a task streams become larger
+GROWING = 4 << 30
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -59,12 +62,20 @@ def input_bytes(frame: DataFrame) -> int | None:
     return size if size < UNKNOWN else None
 
 
-def parts_for(frame: DataFrame, mb: int, least: int = 1) -> int:
-    """Number of pieces of about ``mb`` MB of stored input, or what the session sets where its size is unknown."""
+def piece_bytes(size: int, mb: int, grow: int = 1) -> int:
+    """Stored bytes of a piece: ``mb`` MB, and with ``grow`` up to as many times that, by the root of the input.
+
+    Up to 4 GB of input pieces stay as they are; beyond, pieces and their number grow alike.
+    """
+    return int((mb << 20) * min(grow, max(1.0, math.sqrt(size / GROWING))))
+
+
+def parts_for(frame: DataFrame, mb: int, least: int = 1, grow: int = 1) -> int:
+    """Number of pieces of about ``mb`` MB of stored input (see ``piece_bytes``), or what the session sets where its size is unknown."""
     size = input_bytes(frame)
     if size is None:
         return max(least, int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return max(least, math.ceil(size / (mb << 20)))
+    return max(least, math.ceil(size / piece_bytes(size, mb, grow)))
 
 
 def written(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:

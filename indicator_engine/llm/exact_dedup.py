@@ -91,7 +91,7 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     collapsed = rows.mapInArrow(_collapse, _CLASS + ", _norm string")
     return (
         collapsed.withColumn("_head", F.substring("_norm", 1, SPLITTER_CHARS))
-        .repartitionByRange(parts_for(docs, 8, 8), "_head", "_digest")
+        .repartitionByRange(parts_for(docs, 8, 8, grow=16), "_head", "_digest")
         .drop("_head")
         .sortWithinPartitions("_norm")
         .mapInArrow(_neighbours, _CLASS)

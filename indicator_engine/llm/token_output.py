@@ -271,7 +271,7 @@ def write_token_files(
     spark.createDataFrame(
         [(int(s), int(freq[s])) for s in kept], "symbol long, freq long"
     ).coalesce(1).write.parquet(f"{folder}/symbols")
-    ordered = encoded.repartitionByRange(parts_for(encoded, 16, 4), "_id").sortWithinPartitions("_id", "_n", "_ids")
+    ordered = encoded.repartitionByRange(parts_for(encoded, 16, 4, grow=16), "_id").sortWithinPartitions("_id", "_n", "_ids")
     ordered.mapInArrow(_writer(freq), _BLOCK).write.parquet(f"{folder}/blocks")
 
 

@@ -16,6 +16,7 @@ import pytest
 import tokenizers
 from pyspark.sql import functions as F
 
+from indicator_engine.llm.common import piece_bytes
 from indicator_engine.llm.components import components
 from indicator_engine.llm.exact_dedup import exact_dedup
 from indicator_engine.llm.language_id import Model, features, fit_svm, has_letter, identify, learn
@@ -543,3 +544,9 @@ def test_all_segmentations_are_returned(spark, small):
         assert len(r.n_best_scores) == len({*r.n_best_hashes}) == r.n_segmentations
         assert r.n_best_scores[0] == r.score and r.n_best_scores == sorted(r.n_best_scores, reverse=True)
     assert max(r.n_segmentations for r in rows) == 4
+
+
+def test_pieces_of_sorted_inputs_grow_with_the_input():
+    mb, gb = 1 << 20, 1 << 30
+    assert [piece_bytes(n, 8, 16) for n in (0, gb, 4 * gb, 16 * gb, 10**5 * gb)] == [8 * mb, 8 * mb, 8 * mb, 16 * mb, 128 * mb]
+    assert piece_bytes(10**5 * gb, 6) == 6 * mb
