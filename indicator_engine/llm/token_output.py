@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from indicator_engine.llm.common import pack, parts_for, slices, unpack, worker_wide
-from indicator_engine.llm.token_counts import Memo, Tokenizer, by_bytes, pieces
+from indicator_engine.llm.token_counts import Memo, Tokenizer, text_groups
 from indicator_engine.session import shared_folder
 
 SCALE = 20
@@ -127,14 +127,10 @@ def token_ids(docs: DataFrame, path: str, end_id: int, id_column: str, text_colu
         end = np.array([end_id], "<u4").tobytes()
         for batch in slices(batches):
             sizes, data = [], []
-            for group in by_bytes(batch.column("_text").to_pylist()):
-                whole = [not tokenizer.cut or any(s in t for s in tokenizer.special) for t in group]
-                parts = [[] if w else pieces(t) for t, w in zip(group, whole)]
-                known = memo.of(set().union(*parts))
-                for text, w, own in zip(group, whole, parts):
-                    ids = np.array(tokenizer.whole(text), "<u4").tobytes() if w else b"".join(map(known.__getitem__, own))
-                    sizes.append(len(ids) // 4 + 1)
-                    data.append(_packed(ids + end))
+            for group in text_groups(batch.column("_text")):
+                for ids in tokenizer.ids_of(group, memo):
+                    sizes.append(len(ids) + 1)
+                    data.append(_packed(ids.tobytes() + end))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id"), pa.array(sizes, pa.int64()), pa.array(data, pa.binary())],
                 names=["_id", "_n", "_ids"],

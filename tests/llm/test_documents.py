@@ -12,6 +12,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tokenizers
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from indicator_engine.llm.near_dedup import near_groups
 from indicator_engine.llm.queries import ORACLE, QUERIES
 from indicator_engine.llm.sentence_pieces import Pieces, decode, segment, words_of
 from indicator_engine.llm.substring_dedup import remove_repeats
-from indicator_engine.llm.token_counts import Tokenizer, count_tokens, pieces
+from indicator_engine.llm.token_counts import Memo, Tokenizer, count_tokens, pieces, text_groups
 from indicator_engine.llm.token_output import Coder, read_token_files, scaled, token_files, write_token_files
 from indicator_engine.session import shared_folder
 from tests.oracle_compare import connect, spark_rows, sql_rows
@@ -163,6 +164,29 @@ def test_ascii_pieces_are_cut_as_the_library_cuts_them():
 # ---- mixing ------------------------------------------------------------------
 
 
+def test_pieces_cut_by_bytes_are_those_of_the_library():
+    tokenizer, library = Tokenizer(BPE), tokenizers.Tokenizer.from_file(BPE)
+    memo = Memo(tokenizer.pieces)
+    parts = ["a", "é", "ß", "×", "ɏ", "ɐ", "中", "1", "²", " ", " ", "\n", "\t", "\x1c", "\xa0", "\u2009", "—", "\u0301"]
+    parts += [".", ",", ";", "'s", "'", " the", ", ", ".\n", "The", "\uffff", "😀", *tokenizer.special]
+    draw = random.Random(5)
+    texts = [None, "", *("".join(draw.choices(parts, k=draw.randint(1, 12))) for _ in range(5000))]
+    column = pa.array(texts)
+    groups = list(text_groups(column, 3000))
+    assert len(groups) > 10 and pa.chunked_array(groups).to_pylist() == texts
+    got = [ids.tolist() for group in groups for ids in tokenizer.ids_of(group, memo)]
+    assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in tokenizer.ids_of(pa.array([], pa.string()), memo)] == []
+
+
+def test_words_before_marks_are_looked_up_once():
+    tokenizer = Tokenizer(BPE)
+    asked = []
+    memo = Memo(lambda words: asked.extend(words) or tokenizer.pieces(words))
+    list(tokenizer.ids_of(pa.array(["été the été, the.\nété; the été"]), memo))
+    assert Counter(asked) == Counter(["été", " été", " the", ",", ".", "\n", ";"])
+
+
 def test_mix_meets_targets(awkward, awkward_rows, nothing):
     rows = mix(awkward).collect()
     size = Counter()
