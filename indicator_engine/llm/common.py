@@ -106,9 +106,16 @@ def _of_group(group: str) -> dict:
     holder = vars(sys.modules.setdefault("corpus_worker_values", types.ModuleType("corpus_worker_values")))
     if holder.get("group") != group:
         holder["group"], holder["values"] = group, {}
+        give_back()
     return holder["values"]
 
 
+def give_back() -> None:
+    """Return free memory to the machine: a worker that waits for its next stage otherwise keeps it."""
+    pa.default_memory_pool().release_unused()
+    pa.system_memory_pool().release_unused()
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """The batches in smaller parts, so that what is made of a part stays small."""
     for batch in batches:

@@ -25,6 +25,7 @@ from __future__ import annotations
 import heapq
 from array import array
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +37,10 @@ from indicator_engine.llm.token_counts import Memo, by_bytes
 
 N_BEST = 4
 SIGN = "▁"
-MEMO_WORDS = 60_000
+MEMO_WORDS = 150_000
 UNKNOWN_PENALTY = 10.0
 #: characters of words solved side by side
-_SLAB = 1 << 16
+_SLAB = 1 << 14
 _NO = -np.inf
 
 
@@ -64,9 +65,10 @@ class Pieces:
         if any(SIGN in self.text[i].lstrip(SIGN) for i in plain):
             raise ValueError("a piece goes on after a word sign; the lattice cannot be cut at words")
         self.of_byte = {i: b for b, i in self.byte.items()}
-        self.texts = np.array(self.text, object)
-        self.bytes_at = np.zeros(self.size, bool)
-        self.bytes_at[list(self.of_byte)] = True
+        self.as_bytes = [
+            bytes([self.of_byte[i]]) if i in self.of_byte else self.text[i].encode("utf-8", "surrogatepass")
+            for i in range(self.size)
+        ]
         self.unknown_id = model.unk_id()
         sign = model.piece_to_id(SIGN)
         self.lone = [sign] if sign != self.unknown_id else self.unknown_ids(ord(SIGN))
@@ -138,7 +140,8 @@ class Pieces:
         flat = chars.ravel()
         at = np.flatnonzero(flat[: width * n])
         state = np.zeros(len(at), np.int64)
-        scores, pieces = [], []
+        score, piece = np.empty((self.longest, width, n)), np.empty((self.longest, width, n), np.int32)
+        sizes = 0
         for size in range(1, self.longest + 1):
             key = state << 21 | flat[at + (size - 1) * n]
             found, state = self.step(key)
@@ -147,11 +150,11 @@ class Pieces:
                 break
             end = self.ends[state]
             whole = end >= 0
-            scores.append(np.full(width * n, _NO))
-            pieces.append(np.full(width * n, -1, np.int32))
-            scores[-1][at[whole]] = self.score[end[whole]]
-            pieces[-1][at[whole]] = end[whole]
-        score, piece = (np.stack(x).reshape(len(x), width, n) for x in (scores, pieces))
+            score[size - 1], piece[size - 1] = _NO, -1
+            score[size - 1].ravel()[at[whole]] = self.score[end[whole]]
+            piece[size - 1].ravel()[at[whole]] = end[whole]
+            sizes = size
+        score, piece = score[:sizes], piece[:sizes]
         lost = (chars[:width] > 0) & (piece[0] < 0)
         score[0][lost] = self.unknown
         return chars, score, piece
@@ -234,7 +237,10 @@ class Pieces:
         """Ids of each word in the library's own encoding."""
         # the library puts the first sign in front itself, but not before an empty text
         got = self.library.encode([w[1:].replace(SIGN, " ") for w in words])
-        return [array("i", self.lone if w == SIGN else ids).tobytes() for w, ids in zip(words, got)]
+        got = [self.lone if w == SIGN else ids for w, ids in zip(words, got)]
+        data = array("i", chain.from_iterable(got)).tobytes()
+        ends = [0, *accumulate(4 * len(ids) for ids in got)]
+        return [data[a:b] for a, b in zip(ends, ends[1:])]
 
     def solve_and_encode(self, words: list[str]) -> list[tuple[bytes, float, float, bytes]]:
         return [(*solved, ids) for solved, ids in zip(self.solve(words), self.encode(words))]
@@ -278,15 +284,8 @@ class Pieces:
         return out
 
     def decode(self, ids: np.ndarray) -> str:
-        if self.bytes_at[ids].any():
-            data = b"".join(
-                bytes([self.of_byte[i]]) if i in self.of_byte else self.text[i].encode("utf-8", "surrogatepass")
-                for i in ids.tolist()
-            )
-            text = data.decode("utf-8", "replace")
-        else:
-            text = "".join(self.texts[ids].tolist())
-        return text.replace(SIGN, " ").removeprefix(" ")
+        data = b"".join(map(self.as_bytes.__getitem__, ids.tolist()))
+        return data.decode("utf-8", "replace").replace(SIGN, " ").removeprefix(" ")
 
 
 def words_of(text: str) -> list[str]:
@@ -326,6 +325,7 @@ def segment(
     alternatives: bool = False,
     encoded: bool = False,
     decoded: bool = False,
+    memo_words: int = MEMO_WORDS,
 ) -> DataFrame:
     """The rows of ``docs`` with ``piece_ids`` (best segmentation) and ``piece_scores`` (of the n best, best first).
 
@@ -333,7 +333,8 @@ def segment(
     also ``encoded_ids``, what the model's library encodes the text to, and with ``decoded``
     the text of these (else of the best) ids, as ``decode`` gives it.  Null and empty
     texts have no pieces and one segmentation, of score 0.  Null ids, repeated rows and
-    empty tables pass through; columns of the new names are replaced.
+    empty tables pass through; columns of the new names are replaced.  A worker holds
+    at most twice ``memo_words`` words, about 0.4 KB each.
     """
     new = {"piece_ids": T.ArrayType(T.IntegerType()), "piece_scores": T.ArrayType(T.DoubleType())}
     if alternatives:
@@ -352,9 +353,9 @@ def segment(
         group = f"pieces {path}"
         model = worker_wide(group, lambda: Pieces(path), group)
         # one look-up a word: its encoding is worked out and held with its best segmentation
-        memo = Memo(model.solve_and_encode if encoded else model.solve, MEMO_WORDS, f"best {encoded}", group)
-        several = Memo(lambda words: model.n_best_of(words, n_best), MEMO_WORDS // 20, f"{n_best} best", group)
-        for batch in slices(batches, 250 if alternatives else 1000):
+        memo = Memo(model.solve_and_encode if encoded else model.solve, memo_words, f"best {encoded}", group)
+        several = Memo(lambda words: model.n_best_of(words, n_best), max(1, memo_words // 20), f"{n_best} best", group)
+        for batch in slices(batches, 250):
             ids: list[bytes] = []
             library: list[bytes] = []
             scores: list[list[float]] = []

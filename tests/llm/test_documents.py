@@ -6,6 +6,8 @@ import hashlib
 import math
 import random
 import re
+import sys
+import types
 import zlib
 from collections import Counter, defaultdict
 
@@ -17,6 +19,7 @@ import pytest
 import tokenizers
 from pyspark.sql import functions as F
 
+from indicator_engine.llm import common
 from indicator_engine.llm.common import piece_bytes
 from indicator_engine.llm.components import components
 from indicator_engine.llm.exact_dedup import exact_dedup
@@ -24,7 +27,7 @@ from indicator_engine.llm.language_id import Model, features, fit_svm, has_lette
 from indicator_engine.llm.mixing import bucket_digits, mix, mixed_documents
 from indicator_engine.llm.near_dedup import near_groups
 from indicator_engine.llm.queries import ORACLE, QUERIES
-from indicator_engine.llm.sentence_pieces import Pieces, decode, segment, words_of
+from indicator_engine.llm.sentence_pieces import MEMO_WORDS, Pieces, decode, segment, words_of
 from indicator_engine.llm.substring_dedup import remove_repeats
 from indicator_engine.llm.token_counts import Memo, Tokenizer, count_tokens, pieces, text_groups
 from indicator_engine.llm.token_output import Coder, read_token_files, scaled, token_files, write_token_files
@@ -562,6 +565,43 @@ def test_encoding_is_the_library_s(spark, awkward, awkward_rows, medium, whole):
     assert {r.doc_id: r.n_pieces for r in QUERIES["op5_sentence_pieces"](spark, medium).collect()} == expected
 
 
+def test_slabs_of_words_stay_small(monkeypatch):
+    model, sizes = Pieces(PIECES), []
+    lattices = model.lattices
+    monkeypatch.setattr(model, "lattices", lambda words: sizes.append(len(words) * max(map(len, words))) or lattices(words))
+    words = [f"▁{i:05d}" for i in range(20_000)]
+    solved = model.solve(words)
+    assert max(sizes) <= 1 << 14 and len(solved) == len(words)
+
+
+def test_words_met_before_are_kept():
+    asked = Counter()
+    memo = Memo(lambda words: asked.update(words) or words, MEMO_WORDS)
+    words = [str(i) for i in range(140_000)]
+    for _ in range(2):
+        for at in range(0, len(words), 10_000):
+            memo.of(set(words[at : at + 10_000]))
+    assert max(asked.values()) == 1
+
+
+def test_decoding_of_bytes_and_signs():
+    model = Pieces(PIECES)
+    assert [model.as_bytes[i] for b, i in sorted(model.byte.items())] == [bytes([b]) for b in sorted(model.byte)]
+    for text in ["a\nb", " x  y\n", "中文 é\x00", "😀\n the"]:
+        assert model.decode(np.array(model.library.encode(text))) == model.library.decode(model.library.encode(text))
+    broken = np.array([model.byte[0xE2], model.library.piece_to_id("▁the")])
+    assert model.decode(broken) == "\ufffd the"
+
+
+def test_memory_goes_back_with_the_values_of_a_stage(monkeypatch):
+    calls = []
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(1))
+    monkeypatch.setitem(sys.modules, "corpus_worker_values", types.ModuleType("corpus_worker_values"))
+    for group in ("a", "a", "b", "a"):
+        common.worker_wide("value", list, group)
+    assert len(calls) == 3
+
+
 def test_all_segmentations_are_returned(spark, small):
     rows = QUERIES["op5_sentence_pieces"](spark, small).collect()
     for r in rows:
